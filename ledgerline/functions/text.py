@@ -13,6 +13,9 @@ WHITESPACE = "".join(
     )
 )
 
+# The same set inside a regular expression.
+SPACES = "[" + "".join(f"\\u{ord(space):04x}" for space in WHITESPACE) + "]*"
+
 # Characters that end a word for title casing.
 WORD_BREAKS = r"[\s\[\](){}/|\\<>!?@\"^#$&~_,.:;*%+\-]"
 
@@ -49,4 +52,4 @@ def decode_utf8(content: Column | str) -> Column:
 
 
 def null_if_empty(value: Column) -> Column:
-    return F.when(value != "", value)
+    return F.nullif(value, F.lit(""))

@@ -176,7 +176,8 @@ def filing_documents(spark: SparkSession, folder: str) -> DataFrame:
         *[_element(tag, fields[name], nested) for name, tag in TRANSACTION_TAGS.items()],
         F.lit(f"</{TRANSACTION_BLOCK}>\n"),
     )
-    head = F.concat(*[_element(tag, _filing_fields()[name]) for name, tag in FILING_TAGS.items()])
+    filing = _filing_fields()
+    head = F.concat(*[_element(tag, filing[name]) for name, tag in FILING_TAGS.items()])
     per_filing = (
         _lines(spark, folder)
         .withColumn("block", block)
