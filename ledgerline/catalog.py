@@ -12,12 +12,12 @@ from pyspark.sql import types as T
 from .functions import calendar, codes, markup, money, parse, text
 from .operators import marts, quality, serving, shred
 from .operators.dedup import insider_transactions, late_filings
-from .operators.staging import stage
+from .operators.staging import clean, stage
 from .plans.ingest import ingest
 from .plans.warehouse import Marts, audit_all, build
 from .sinks import tables
 from .sources import documents, index, landing
-from .sources.scratch import fresh_path
+from .sources.scratch import fresh_path, written
 from .sources.trade_tables import filing_documents, index_lines, raw_transactions, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,7 +75,7 @@ def staged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
-    return insider_transactions(staged(spark, folder))
+    return insider_transactions(clean(raw(spark, folder)))
 
 
 def monthly(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,8 +100,15 @@ def landed_raw(spark: SparkSession, folder: str) -> str:
     return root
 
 
+def landed_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Index lines read from text files, one directory per quarter."""
+    root = fresh_path(spark, "index")
+    index_lines(spark, folder).hint("rebalance", F.col("quarter")).write.partitionBy("quarter").text(root)
+    return index.read_index_lines(spark, root)
+
+
 def listings(spark: SparkSession, folder: str) -> DataFrame:
-    return index.parse_index(index_lines(spark, folder))
+    return index.parse_index(landed_index(spark, folder))
 
 
 def per_quarter(frame: DataFrame) -> DataFrame:
@@ -117,16 +124,13 @@ def per_quarter(frame: DataFrame) -> DataFrame:
 
 @query
 def index_parse(spark, folder):
-    return listings(spark, folder)
+    return index.parse_index(index_lines(spark, folder))
 
 
 @query
 def index_files(spark, folder):
-    """The same index from text files in one directory per quarter."""
-    root = fresh_path(spark, "index")
-    lines = index_lines(spark, folder)
-    lines.hint("rebalance", F.col("quarter")).write.partitionBy("quarter").text(root)
-    return index.parse_index(index.read_index_lines(spark, root))
+    """The same listings from index files."""
+    return listings(spark, folder)
 
 
 @query
@@ -233,7 +237,7 @@ def shred_filings(spark, folder):
 def ingest_landing(spark, folder):
     """Index and documents to landed quarters, then read back."""
     root = fresh_path(spark, "landing")
-    ingest(index_lines(spark, folder), filing_documents(spark, folder), root, RUN_TS)
+    ingest(landed_index(spark, folder), filing_documents(spark, folder), root, RUN_TS)
     return per_quarter(landing.read_raw(spark, root))
 
 
@@ -574,7 +578,7 @@ def top_sellers_90d(spark, folder):
 
 def _audit(spark, folder, kind: str) -> DataFrame:
     staged_rows = staged(spark, folder)
-    rows = insider_transactions(staged_rows)
+    rows, _ = written(transactions(spark, folder), "transactions")
     published = Marts(marts.monthly_activity(rows), marts.top_traders(rows), marts.company_sentiment(rows))
     return audit_all(raw(spark, folder), staged_rows, rows, published).where(F.col("check") == kind)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions.calendar import days_to_file, month_key, quarter_key
+from .staging import title_names
 
 DEDUP_KEYS = ("accession_number", "transaction_date", "transaction_code", "transaction_shares")
 
@@ -27,7 +28,7 @@ ENRICHED = (
 )
 
 
-def deduplicate(staged: DataFrame, keys: Sequence[str] = DEDUP_KEYS) -> DataFrame:
+def deduplicate(cleaned: DataFrame, keys: Sequence[str] = DEDUP_KEYS) -> DataFrame:
     """Keep one row per key: amendments first, then the latest filing.
 
     ``row_number() = 1`` lets Spark drop losers in every map task before the
@@ -41,7 +42,7 @@ def deduplicate(staged: DataFrame, keys: Sequence[str] = DEDUP_KEYS) -> DataFram
         *[F.col(name).asc_nulls_first() for name in TIE_BREAK],
     ]
     window = W.partitionBy(*keys).orderBy(*order)
-    return staged.withColumn("_position", F.row_number().over(window)).where(F.col("_position") == 1).drop("_position")
+    return cleaned.withColumn("_position", F.row_number().over(window)).where(F.col("_position") == 1).drop("_position")
 
 
 def enrich(transactions: DataFrame) -> DataFrame:
@@ -60,8 +61,9 @@ def enrich(transactions: DataFrame) -> DataFrame:
     )
 
 
-def insider_transactions(staged: DataFrame, keys: Sequence[str] = DEDUP_KEYS) -> DataFrame:
-    return enrich(deduplicate(staged, keys))
+def insider_transactions(cleaned: DataFrame, keys: Sequence[str] = DEDUP_KEYS) -> DataFrame:
+    """Deduplicated, titled and enriched transactions from ``clean`` (or ``stage``) output."""
+    return enrich(title_names(deduplicate(cleaned, keys)))
 
 
 def late_filings(transactions: DataFrame, days: int = 2) -> DataFrame:

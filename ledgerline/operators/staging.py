@@ -10,17 +10,36 @@ from ..functions.money import transaction_value
 from ..functions.text import strip, strip_upper, title_case
 
 
+NAMES = ("issuer_name", "filer_company_name", "insider_name", "officer_title")
+
+
 def stage(raw: DataFrame) -> DataFrame:
     """One row per transaction; header-only rows (no code) are dropped. Map-only."""
+    return title_names(clean(raw))
+
+
+def title_names(transactions: DataFrame) -> DataFrame:
+    """Title-case whichever name columns are there."""
+    return transactions.select(
+        *[title_case(name).alias(name) if name in NAMES else F.col(name) for name in transactions.columns]
+    )
+
+
+def clean(raw: DataFrame) -> DataFrame:
+    """``stage`` with names trimmed but still as filed.
+
+    Title casing costs more than the rest of staging together, so jobs that
+    drop duplicates leave it until those are gone.
+    """
     return raw.where(F.col("transaction_code").isNotNull()).select(
         "accession_number",
         strip("cik").alias("cik"),
         strip("issuer_cik").alias("issuer_cik"),
-        title_case(strip("issuer_name")).alias("issuer_name"),
+        strip("issuer_name").alias("issuer_name"),
         strip_upper("issuer_ticker").alias("issuer_ticker"),
-        title_case(strip("company_name")).alias("filer_company_name"),
-        title_case(strip("reporting_owner_name")).alias("insider_name"),
-        title_case(strip("officer_title")).alias("officer_title"),
+        strip("company_name").alias("filer_company_name"),
+        strip("reporting_owner_name").alias("insider_name"),
+        strip("officer_title").alias("officer_title"),
         is_set("is_director").alias("is_director"),
         is_set("is_officer").alias("is_officer"),
         is_set("is_ten_pct_owner").alias("is_ten_pct_owner"),

@@ -8,9 +8,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.dedup import insider_transactions
-from ..operators.marts import company_sentiment, monthly_activity, top_traders
+from ..operators.marts import MONTHLY_KEYS, company_sentiment, monthly_activity, top_traders
 from ..operators.quality import CHECKS, UNIQUE, audit, unique
-from ..operators.staging import stage
+from ..operators.staging import clean
 from ..sinks.tables import read_table, write_monthly, write_table
 from ..sources.scratch import written
 
@@ -38,7 +38,7 @@ def build(raw: DataFrame, root: str) -> Marts:
     The deduplicated transactions feed every table, so they are written once
     instead of being derived three times.
     """
-    transactions, _ = written(insider_transactions(stage(raw)), "transactions")
+    transactions, _ = written(insider_transactions(clean(raw)), "transactions")
     monthly = monthly_activity(transactions)
     write_monthly(monthly, f"{root}/monthly_activity")
     traders = top_traders(transactions)
@@ -49,9 +49,10 @@ def build(raw: DataFrame, root: str) -> Marts:
 
 
 def open_marts(spark: SparkSession, root: str, like: Marts | None = None) -> Marts:
-    """The stored tables."""
+    """The stored tables; partition columns come last in files and go back to their place."""
+    monthly = read_table(spark, f"{root}/monthly_activity", like and like.monthly)
     return Marts(
-        read_table(spark, f"{root}/monthly_activity", like and like.monthly),
+        monthly.select(*MONTHLY_KEYS, *[name for name in monthly.columns if name not in MONTHLY_KEYS]),
         read_table(spark, f"{root}/top_traders", like and like.traders),
         read_table(spark, f"{root}/company_sentiment", like and like.sentiment),
     )

@@ -9,11 +9,10 @@ the pipeline occurs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema
-from ..functions.calendar import quarter_label
 from ..operators.shred import FILING_TAGS, TRANSACTION_BLOCK, TRANSACTION_TAGS
 from .index import LAYOUT
 
@@ -30,92 +29,67 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders with customer and nation; the nation table has a fixed 25 rows."""
+    """Orders with customer and nation.
+
+    The nation table has a fixed 25 rows and is broadcast; orders and customers
+    both grow, so they are joined on a shuffle.
+    """
     nation = F.broadcast(table(spark, folder, "nation"))
     customer = table(spark, folder, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    orders = table(spark, folder, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    orders = table(spark, folder, "orders").join(customer.hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
     return orders.select(*_ORDER_COLUMNS)
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines with their order: two large tables, joined on a shuffle of the order key."""
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"
     )
-    return lines.join(_orders(spark, folder), F.col("l_orderkey") == F.col("o_orderkey"))
-
-
-def _accession() -> Column:
-    return F.concat_ws(
-        "-",
-        F.lpad(F.col("o_orderkey").cast("string"), 10, "0"),
-        F.lpad((F.year("o_orderdate") % 100).cast("string"), 2, "0"),
-        F.lpad(F.col("o_custkey").cast("string"), 6, "0"),
-    )
-
-
-def _quarter() -> Column:
-    return quarter_label(F.year("o_orderdate"), F.quarter("o_orderdate"))
-
-
-def _filing_fields() -> dict[str, Column]:
-    """Columns a document states once."""
-    rare = F.col("o_orderkey") % 500 == 7
-    key = F.col("o_orderkey").cast("string")
-    nation = F.col("c_nationkey").cast("string")
-    segment = F.col("c_mktsegment")
-
-    def flag(value: str) -> Column:
-        return F.when(segment == value, F.lit("1")).otherwise(F.lit("0"))
-
-    return {
-        "period_of_report": F.col("o_orderdate").cast("date"),
-        "issuer_cik": F.concat(F.lit("I"), nation),
-        "issuer_name": F.when(rare, F.concat(F.lit(" RARE CO-"), key)).otherwise(F.concat(F.lit("  "), "n_name", F.lit(" "))),
-        "issuer_ticker": F.when(rare, F.concat(F.lit("r"), key, F.lit(" "))).when(
-            F.col("c_nationkey") != 24, F.concat(F.lit(" n"), nation)
-        ),
-        "reporting_owner_name": F.col("c_name"),
-        "is_director": flag("FURNITURE"),
-        "is_officer": flag("BUILDING"),
-        "is_ten_pct_owner": flag("MACHINERY"),
-        "officer_title": F.when(segment == "BUILDING", F.concat(F.lit("chief "), F.lower(segment))),
-    }
+    return lines.join(_orders(spark, folder).hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def _transaction_fields() -> dict[str, Column]:
-    """Columns of one transaction."""
-    status = F.concat("l_returnflag", "l_linestatus")
-    nation_mod = F.col("c_nationkey") % 5
-    line = F.col("l_linenumber")
-    other = F.lit("J")
-    for number, code in ((4, "X"), (3, "F"), (2, "G"), (1, "M")):
-        other = F.when(line == number, F.lit(code)).otherwise(other)
-    return {
-        "transaction_date": F.col("l_shipdate").cast("date"),
-        "transaction_code": F.when(status == "RO", F.when(nation_mod == 2, F.lit("S")).otherwise(F.lit("p")))
-        .when(status == "RF", F.when(nation_mod == 1, F.lit("P")).otherwise(F.lit(" S ")))
-        .when(status == "AF", F.lit("S"))
-        .when(status == "AO", F.lit("P"))
-        .when(status == "NO", other),
-        "transaction_shares": F.col("l_quantity"),
-        "price_per_share": F.when(F.col("l_discount") != 0, F.col("l_extendedprice") / F.col("l_quantity")),
-        "shares_owned_after": F.col("l_quantity") * 10,
-        "direct_or_indirect": F.when(line % 3 == 0, F.lit("D")).when(line % 3 == 1, F.lit(" i ")).otherwise(F.lit("x")),
-        "security_title": F.lit(" common stock "),
-    }
-
-
-def _listing_fields() -> dict[str, Column]:
-    """Columns an index states about a filing under one of its listings."""
-    issuer = F.col("listing") == "issuer"
-    return {
-        "cik": F.when(issuer, F.concat(F.lit("I"), F.col("c_nationkey").cast("string"))).otherwise(
-            F.concat(F.lit("O"), F.col("o_custkey").cast("string"))
-        ),
-        "company_name": F.when(issuer, F.col("n_name")).otherwise(F.col("c_name")),
-        "form_type": F.when(issuer & (F.col("o_orderpriority") == "1-URGENT"), F.lit("4/A")).otherwise(F.lit("4")),
-        "filing_date": F.col("o_orderdate").cast("date"),
-    }
+ACCESSION = (
+    "concat_ws('-', lpad(string(o_orderkey), 10, '0'), lpad(string(year(o_orderdate) % 100), 2, '0'),"
+    " lpad(string(o_custkey), 6, '0'))"
+)
+QUARTER = "concat(year(o_orderdate), 'Q', quarter(o_orderdate))"
+
+# What a document states once.
+_FILING = {
+    "period_of_report": "date(o_orderdate)",
+    "issuer_cik": "concat('I', c_nationkey)",
+    "issuer_name": "if(o_orderkey % 500 = 7, concat(' RARE CO-', o_orderkey), concat('  ', n_name, ' '))",
+    "issuer_ticker": "case when o_orderkey % 500 = 7 then concat('r', o_orderkey, ' ')"
+    " when c_nationkey <> 24 then concat(' n', c_nationkey) end",
+    "reporting_owner_name": "c_name",
+    "is_director": "if(c_mktsegment = 'FURNITURE', '1', '0')",
+    "is_officer": "if(c_mktsegment = 'BUILDING', '1', '0')",
+    "is_ten_pct_owner": "if(c_mktsegment = 'MACHINERY', '1', '0')",
+    "officer_title": "case when c_mktsegment = 'BUILDING' then concat('chief ', lower(c_mktsegment)) end",
+}
+
+# What it states per transaction.
+_TRANSACTION = {
+    "transaction_date": "date(l_shipdate)",
+    "transaction_code": "case concat(l_returnflag, l_linestatus)"
+    " when 'RO' then if(c_nationkey % 5 = 2, 'S', 'p')"
+    " when 'RF' then if(c_nationkey % 5 = 1, 'P', ' S ')"
+    " when 'AF' then 'S' when 'AO' then 'P'"
+    " when 'NO' then case l_linenumber when 1 then 'M' when 2 then 'G' when 3 then 'F' when 4 then 'X' else 'J' end end",
+    "transaction_shares": "l_quantity",
+    "price_per_share": "case when l_discount <> 0 then l_extendedprice / l_quantity end",
+    "shares_owned_after": "l_quantity * 10",
+    "direct_or_indirect": "case l_linenumber % 3 when 0 then 'D' when 1 then ' i ' else 'x' end",
+    "security_title": "' common stock '",
+}
+
+# What an index states about a filing under one of its listings.
+_LISTING = {
+    "cik": "if(listing = 'issuer', concat('I', c_nationkey), concat('O', o_custkey))",
+    "company_name": "if(listing = 'issuer', n_name, c_name)",
+    "form_type": "if(listing = 'issuer' and o_orderpriority = '1-URGENT', '4/A', '4')",
+    "filing_date": "date(o_orderdate)",
+}
 
 
 def _listed(frame: DataFrame, listings: tuple[str, ...] = LISTINGS) -> DataFrame:
@@ -125,14 +99,14 @@ def _listed(frame: DataFrame, listings: tuple[str, ...] = LISTINGS) -> DataFrame
 def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Raw rows as the landing zone holds them, one per listing and line."""
     fields = {
-        "accession_number": _accession(),
-        **_listing_fields(),
-        **_filing_fields(),
-        **_transaction_fields(),
-        "quarter": _quarter(),
-        "ingested_at": F.date_add(F.col("o_orderdate").cast("date"), 1).cast("timestamp"),
+        "accession_number": ACCESSION,
+        **_LISTING,
+        **_FILING,
+        **_TRANSACTION,
+        "quarter": QUARTER,
+        "ingested_at": "timestamp(date_add(date(o_orderdate), 1))",
     }
-    return _listed(_lines(spark, folder)).select(*[fields[name].alias(name) for name in schema.RAW.fieldNames()])
+    return _listed(_lines(spark, folder)).selectExpr(*[f"{fields[name]} as {name}" for name in schema.RAW.fieldNames()])
 
 
 def index_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -140,55 +114,47 @@ def index_lines(spark: SparkSession, folder: str) -> DataFrame:
 
     The third line is of another form, too short, or without a document path.
     """
-    listing = _listing_fields()
-    skipped = F.col("listing") == "skipped"
-    priority = F.col("o_orderpriority")
-    form = F.when(skipped & ~priority.isin("2-HIGH", "3-MEDIUM"), F.lit("8-K")).otherwise(listing["form_type"])
-    path = F.concat(
-        F.when(skipped & (priority == "3-MEDIUM"), F.lit("archive/")).otherwise(F.lit("edgar/data/")),
-        F.col("o_custkey").cast("string"),
-        F.lit("/"),
-        _accession(),
-        F.lit(".txt  "),
+    fields = {
+        **_LISTING,
+        "form_type": "if(listing = 'skipped' and o_orderpriority not in ('2-HIGH', '3-MEDIUM'), '8-K',"
+        f" {_LISTING['form_type']})",
+    }
+    path = (
+        "if(listing = 'skipped' and o_orderpriority = '3-MEDIUM', 'archive/', 'edgar/data/'),"
+        f" o_custkey, '/', {ACCESSION}, '.txt  '"
     )
-    fields = {**listing, "form_type": form, "filing_date": listing["filing_date"].cast("string")}
-    line = F.concat(*[F.rpad(fields[name], width, " ") for name, (_, width) in LAYOUT.items()], path)
-    line = F.when(skipped & (priority == "2-HIGH"), F.substring(line, 1, 39)).otherwise(line)
-    return _listed(_orders(spark, folder), (*LISTINGS, "skipped")).select(
-        line.alias("value"), _quarter().alias("quarter")
+    line = ", ".join(f"rpad(string({fields[name]}), {width}, ' ')" for name, (_, width) in LAYOUT.items())
+    return (
+        _listed(_orders(spark, folder), (*LISTINGS, "skipped"))
+        .selectExpr(
+            f"concat({line}, {path}) as line",
+            "if(listing = 'skipped' and o_orderpriority = '2-HIGH', 39, 200) as length",
+            f"{QUARTER} as quarter",
+        )
+        .selectExpr("substring(line, 1, length) as value", "quarter")
     )
 
 
-def _element(tag: str, value: Column, nested: Column | None = None) -> Column:
-    """``<tag>value</tag>``, with a nested value element where asked; nothing for NULL."""
-    text = value.cast("string")
-    if nested is not None:
-        text = F.when(nested, F.concat(F.lit("<value>"), text, F.lit("</value><footnoteId id=\"F1\"/>"))).otherwise(text)
-    return F.coalesce(F.concat(F.lit(f"<{tag}>"), text, F.lit(f"</{tag}>\n")), F.lit(""))
+def _element(tag: str, value: str, nested: str = "false") -> str:
+    """SQL for ``<tag>value</tag>``, with a nested value element where asked; '' for NULL."""
+    wrapped = f"""concat('<value>', {value}, '</value><footnoteId id="F1"/>')"""
+    return f"coalesce(concat('<{tag}>', if({nested}, {wrapped}, string({value})), '</{tag}>\n'), '')"
 
 
 def filing_documents(spark: SparkSession, folder: str) -> DataFrame:
     """XML text of every order with lines; odd lines use the nested value form."""
-    nested = F.col("l_linenumber") % 2 == 1
-    fields = _transaction_fields()
-    block = F.concat(
-        F.lit(f"<{TRANSACTION_BLOCK}>\n"),
-        *[_element(tag, fields[name], nested) for name, tag in TRANSACTION_TAGS.items()],
-        F.lit(f"</{TRANSACTION_BLOCK}>\n"),
-    )
-    filing = _filing_fields()
-    head = F.concat(*[_element(tag, filing[name]) for name, tag in FILING_TAGS.items()])
+    elements = ", ".join(_element(tag, _TRANSACTION[name], "l_linenumber % 2 = 1") for name, tag in TRANSACTION_TAGS.items())
+    head = ", ".join(_element(tag, _FILING[name]) for name, tag in FILING_TAGS.items())
     per_filing = (
         _lines(spark, folder)
-        .withColumn("block", block)
+        .selectExpr(*_ORDER_COLUMNS, f"concat('<{TRANSACTION_BLOCK}>\n', {elements}, '</{TRANSACTION_BLOCK}>\n') as block")
         .groupBy(*_ORDER_COLUMNS)
-        .agg(F.array_join(F.array_sort(F.collect_list("block")), "").alias("blocks"))
+        .agg(F.expr("array_join(array_sort(collect_list(block)), '')").alias("blocks"))
     )
-    xml = F.concat(
-        F.lit("<?xml version=\"1.0\"?>\n<ownershipDocument>\n"),
-        head,
-        F.lit("<nonDerivativeTable>\n"),
-        "blocks",
-        F.lit("</nonDerivativeTable>\n</ownershipDocument>\n"),
+    return per_filing.selectExpr(
+        f"{ACCESSION} as accession_number",
+        f"""concat('<?xml version="1.0"?>\n<ownershipDocument>\n', {head}, '<nonDerivativeTable>\n', blocks,
+                   '</nonDerivativeTable>\n</ownershipDocument>\n') as xml""",
+        "o_orderstatus",
+        "o_orderpriority",
     )
-    return per_filing.select(_accession().alias("accession_number"), xml.alias("xml"), "o_orderstatus", "o_orderpriority")
