@@ -47,12 +47,16 @@ def counted_ranks(frame: DataFrame, ranks: Mapping[str, str], within: str | None
 
     Rows collapse to (value, count) before any sort, so ties of any size are one
     row. Larger values in other bins are a prefix sum over the fixed set of
-    bins; larger values in the same bin are a running count inside the bin.
+    bins; larger values in the same bin are a running count inside the bin. The
+    join back meets one position per value, so a value shared by many rows is a
+    skewed key on one side only, which adaptive execution splits.
     """
     columns = frame.columns
-    keyed = frame.withColumn("_group", F.col(within) if within else F.lit(0))
+    group = F.col(within) if within else F.lit(0)
+    keyed = frame.withColumn("_group", group)
     for name, value in ranks.items():
-        positions = _positions(keyed.select("_group", F.col(value).alias("_value"))).withColumnRenamed("_rank", name)
+        positions = _positions(frame.select(group.alias("_group"), F.col(value).alias("_value")))
+        positions = positions.withColumnRenamed("_rank", name)
         keyed = (
             keyed.alias("rows")
             .join(
