@@ -7,12 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, shuffle
+from . import decontaminate, packing, shuffle, tokenfiles
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    manifest, content = tokenfiles.write(docs, tokenfiles.new_folder(docs))
+    return tokenfiles.read(manifest, content)
+
+
 def op5_shards(spark: SparkSession, folder: str) -> DataFrame:
     text = F.col("text")
     rows = table(spark, folder, "documents").select(
@@ -37,6 +47,8 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_packing": op3_packing,
+    "op4_token_files": op4_token_files,
     "op5_shards": op5_shards,
     "op8_decontamination": op8_decontamination,
 }
