@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, shuffle, tokenfiles
+from . import decontaminate, packing, shuffle, superminhash, tokenfiles
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = superminhash.components(table(spark, folder, "documents"), shingle=2)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
@@ -47,6 +52,7 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_packing": op3_packing,
     "op4_token_files": op4_token_files,
     "op5_shards": op5_shards,
