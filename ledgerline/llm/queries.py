@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, shuffle, superminhash, tokenfiles
+from . import decontaminate, packing, shuffle, superminhash, tokenfiles, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,17 @@ def op5_shards(spark: SparkSession, folder: str) -> DataFrame:
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(toxicity.labelled(docs, table(spark, folder, "labels")))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.scan(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -56,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op3_packing": op3_packing,
     "op4_token_files": op4_token_files,
     "op5_shards": op5_shards,
+    "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
 }
 
