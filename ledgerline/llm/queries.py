@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, shuffle, superminhash, tokenfiles, toxicity
+from . import decontaminate, packing, secrets, shuffle, superminhash, tokenfiles, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,24 @@ def op5_shards(spark: SparkSession, folder: str) -> DataFrame:
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "owned")
+
+    def counted(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        counted("assign").alias("n_assign"),
+        counted("access").alias("n_access"),
+        counted("hex").alias("n_hex"),
+        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("bigint").alias("n_live"),
+    )
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = toxicity.fit(toxicity.labelled(docs, table(spark, folder, "labels")))
@@ -67,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op3_packing": op3_packing,
     "op4_token_files": op4_token_files,
     "op5_shards": op5_shards,
+    "op6_secrets": op6_secrets,
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
 }
