@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, secrets, shuffle, superminhash, tokenfiles, toxicity
+from . import decontaminate, fingerprint, packing, secrets, shuffle, superminhash, tokenfiles, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.with_next(table(spark, folder, "documents"))
+
+
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = superminhash.components(table(spark, folder, "documents"), shingle=2)
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
@@ -81,6 +85,7 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_packing": op3_packing,
     "op4_token_files": op4_token_files,
