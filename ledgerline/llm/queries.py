@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, packing, secrets, shuffle, superminhash, tokenfiles, toxicity
+from . import attribution, credentials, decontaminate, fingerprint, hosts, packing, shuffle, superminhash, tokenfiles, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,7 +44,7 @@ def op5_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
-    found = secrets.scan(table(spark, folder, "documents"))
+    found = credentials.scan(table(spark, folder, "documents"))
     base = F.filter("spans", lambda s: s["kind"] != "owned")
 
     def counted(kind: str) -> Column:
@@ -55,8 +55,8 @@ def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
         counted("assign").alias("n_assign"),
         counted("access").alias("n_access"),
         counted("hex").alias("n_hex"),
-        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
-        secrets.listed(F.col("spans")).alias("spans"),
+        F.sha2(credentials.listed(base).cast("binary"), 256).alias("base_sha256"),
+        credentials.listed(F.col("spans")).alias("spans"),
         F.size(F.filter("spans", lambda s: s["live"])).cast("bigint").alias("n_live"),
     )
 
@@ -84,6 +84,14 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return hosts.judge(table(spark, folder, "pages"), table(spark, folder, "labels"))
+
+
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return attribution.count(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_near_duplicates": op2_near_duplicates,
@@ -93,6 +101,8 @@ QUERIES: dict[str, Query] = {
     "op6_secrets": op6_secrets,
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
+    "op9_url_filter": op9_url_filter,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {}
