@@ -22,13 +22,13 @@ BLOCK = 1024
 
 
 def superminhash(shingles: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarray:
-    """Signatures (texts x size, 32-bit) of the shingle sets ``shingles[bounds[i]:bounds[i+1]]``.
+    """Signatures (texts x size, 16-bit) of the shingle sets ``shingles[bounds[i]:bounds[i+1]]``.
 
     Element d gives component p(j) the value j + r(j), where p is d's own random
     permutation, made by swaps as it goes, and j its step. A component keeps the
     smallest value. All elements of all texts take step j together; a text is
     done once its largest component is below j + 1, since later steps only give
-    more. The result is a 32-bit hash of (j, r). An empty set has a
+    more. The result is a 16-bit hash of (j, r): unequal values agree once in 65,536. An empty set has a
     signature of no meaning.
     """
     texts = len(bounds) - 1
@@ -54,7 +54,7 @@ def superminhash(shingles: np.ndarray, bounds: np.ndarray, size: int) -> np.ndar
             stay = ~done[owner]
             live, owner = live[stay], owner[stay]
             history = [h[stay] for h in history]
-    return (mix(best) >> U64(32)).astype(np.uint32)
+    return (mix(best) >> U64(48)).astype(np.uint16)
 
 
 def profiles(docs: DataFrame, id_column: str, shingle: int, size: int = BANDS * ROWS) -> DataFrame:
@@ -88,37 +88,31 @@ def distinct(texts: list[bytes], shingle: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(sets) if sets else hashes), np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame, id_column: str, shingle: int) -> DataFrame:
-    """node and the serialized sorted set of the documents whose id is a node of ``wanted``."""
-    source = documents(docs, id_column, "text").join(wanted, F.col(id_column) == F.col("node"), "left_semi")
+def texts_for(docs: DataFrame, wanted: DataFrame, id_column: str) -> DataFrame:
+    """node and text of the documents whose id is a node of ``wanted``, one for each."""
+    source = documents(docs, id_column, "text").select(F.col(id_column).cast("bigint").alias("node"), "text")
+    return source.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets, bounds = distinct(texts_of(batch), shingle)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(id_column), pa.array([sets[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())], ["node", "members"]
-            )
 
-    return arrow_map(source, run, "node bigint, members binary").dropDuplicates(["node"])
-
-
-def verified(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the similarity."""
-    left = pairs.join(sets.select(F.col("node").alias("b"), F.col("members").alias("_b")), "b")
-    both = left.join(sets.select(F.col("node").alias("a"), F.col("members").alias("_a")), "a")
+def verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) whose full sets reach the similarity. Text travels, as it packs better than hashed sets."""
+    left = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("_b")), "b")
+    both = left.join(texts.select(F.col("node").alias("a"), F.col("text").alias("_a")), "a")
     least, whole = similarity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "_b"):
+            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            needed = dict(zip(a, texts_of(batch, "_a"))) | dict(zip(b, texts_of(batch, "_b")))
+            place = {node: i for i, node in enumerate(needed)}
+            sets, bounds = distinct(list(needed.values()), shingle)
             kept = []
-            for i in range(batch.num_rows):
-                a = np.frombuffer(batch.column("_a")[i].as_buffer(), "<u8")
-                b = np.frombuffer(batch.column("_b")[i].as_buffer(), "<u8")
-                if len(a) < len(b):
-                    a, b = b, a
-                at = np.minimum(np.searchsorted(a, b), len(a) - 1)
-                common = int((a[at] == b).sum())
-                if whole * common >= least * (len(a) + len(b) - common):
+            for i, (x, y) in enumerate(zip(a, b)):
+                x, y = (sets[bounds[place[n]] : bounds[place[n] + 1]] for n in (x, y))
+                if len(x) < len(y):
+                    x, y = y, x
+                common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+                if whole * common >= least * (len(x) + len(y) - common):
                     kept.append(i)
             taken = batch.take(pa.array(kept, pa.int64()))
             yield pa.RecordBatch.from_arrays([taken.column("a"), taken.column("b")], ["a", "b"])
@@ -127,20 +121,20 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) ->
 
 
 def buckets(classes: DataFrame, bands: int, rows: int) -> DataFrame:
-    """node, signature and one row per band; buckets of one node are left out."""
-    width = 4 * rows
-    banded = classes.select(
-        "node", "n_shingles", "signature",
-        F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.struct(i.alias("band"), F.substring("signature", i * width + 1, F.lit(width)).alias("rows")))).alias("key"),
-    )
-    return banded.select("node", "n_shingles", "signature", F.xxhash64("key.band", "key.rows").alias("bucket"))
+    """(node, bucket, pivot, n) for every band of a class, where bucket has n > 1 nodes and pivot is the smallest."""
+    width = 2 * rows
+    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * width + 1, F.lit(width))))
+    spread = classes.select("node", F.explode(keys).alias("bucket"))
+    shared = spread.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
+    return spread.join(shared, "bucket")
 
 
-def pivots(spread: DataFrame, floor: int) -> DataFrame:
+def pivots(spread: DataFrame, classes: DataFrame, floor: int) -> DataFrame:
     """Pairs of each node and the smallest node of its buckets, where the signatures allow the similarity."""
-    least = spread.groupBy("bucket").agg(F.min(F.struct("node", "signature")).alias("p"), F.count("*").alias("n")).where("n > 1")
-    pairs = spread.join(least, "bucket").where(F.col("node") != F.col("p.node"))
-    return alike(pairs.select(F.col("p.node").alias("a"), F.col("node").alias("b"), F.col("p.signature").alias("_a"), F.col("signature").alias("_b")), floor).distinct()
+    pairs = spread.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    signed = classes.select("node", "signature")
+    left = pairs.join(signed.select(F.col("node").alias("b"), F.col("signature").alias("_b")), "b")
+    return alike(left.join(signed.select(F.col("node").alias("a"), F.col("signature").alias("_a")), "a").select("a", "b", "_a", "_b"), floor)
 
 
 def alike(pairs: DataFrame, floor: int) -> DataFrame:
@@ -150,14 +144,14 @@ def alike(pairs: DataFrame, floor: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(batch.num_rows, -1) for c in ("_a", "_b"))
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(batch.num_rows, -1) for c in ("_a", "_b"))
             kept = pa.array((a == b).sum(axis=1) >= floor)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept)], ["a", "b"])
 
     return arrow_map(pairs, run, "a bigint, b bigint")
 
 
-def crossing(spread: DataFrame, found: DataFrame, floor: int, best_only: bool) -> DataFrame:
+def crossing(spread: DataFrame, classes: DataFrame, found: DataFrame, floor: int, best_only: bool) -> DataFrame:
     """Likely pairs of nodes that share a bucket but no component yet.
 
     A bucket is compared in blocks of BLOCK rows: block i of a bucket meets
@@ -165,9 +159,9 @@ def crossing(spread: DataFrame, found: DataFrame, floor: int, best_only: bool) -
     ``best_only``, of the pairs between two components in a group only the most
     alike is given: if it holds, the others are settled.
     """
-    members = spread.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_ = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low < high")
-    members = members.join(open_.select("bucket", "n"), "bucket")
+    members = spread.select("node", "bucket", "n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    open_ = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    members = members.join(open_.select("bucket"), "bucket").join(classes.select("node", "signature"), "node")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     members = members.withColumn("_block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("_blocks", blocks)
     # block k takes part in the groups (k, k), (k, j > k) and (j < k, k)
@@ -191,7 +185,7 @@ def crossing(spread: DataFrame, found: DataFrame, floor: int, best_only: bool) -
 
     def compared(group: pa.Table) -> Iterator[pa.RecordBatch]:
         nodes, components = group.column("node").to_numpy(), group.column("component").to_numpy()
-        signed = np.frombuffer(b"".join(group.column("signature").to_pylist()), "<u4").reshape(len(nodes), -1)
+        signed = np.frombuffer(b"".join(group.column("signature").to_pylist()), "<u2").reshape(len(nodes), -1)
         low, high, same = [], [], []
         for i in range(len(nodes) - 1):
             others = i + 1 + np.flatnonzero(components[i + 1 :] != components[i])
@@ -278,16 +272,14 @@ def components(docs: DataFrame, id_column: str = "doc_id", shingle: int = SHINGL
         .agg(F.min(id_column).cast("bigint").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
     )
     classes = written(classes, "classes")
-    spread = buckets(classes, bands, rows)
-    shared = spread.groupBy("bucket").count().where("count > 1").select("bucket")
-    spread = written(spread.join(shared, "bucket"), "buckets").drop("n_shingles")
-    sets = written(shingle_sets(docs, spread.select("node").distinct(), id_column, shingle), "sets")
-    links = written(verified(pivots(spread, floor), sets, similarity), "links")
+    spread = written(buckets(classes, bands, rows), "buckets")
+    texts = written(texts_for(docs, spread.select("node").distinct(), id_column), "texts")
+    links = written(verified(pivots(spread, classes, floor), texts, shingle, similarity), "links")
     found = labels(links, "labels")
     for best_only in (True, False):
-        pairs = written(crossing(spread, found, floor, best_only), "crossing")
+        pairs = written(crossing(spread, classes, found, floor, best_only), "crossing")
         if not pairs.isEmpty():
-            links = links.union(written(verified(pairs, sets, similarity), "links"))
+            links = links.union(written(verified(pairs, texts, shingle, similarity), "links"))
             found = labels(links, "labels")
     named = classes.select("content", "node").join(found, "node", "left").select("content", F.coalesce("component", "node").alias("component_id"))
     return profiled.join(named, "content", "left").select(
