@@ -32,6 +32,14 @@ def documents(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`").cast("binary").alias(c) if c == "text" else F.col(f"`{c}`") for c in columns])
 
 
+def fresh(base: str, taken: list[str]) -> str:
+    """``base``, with underscores before it until no column has its name (Spark compares them without case)."""
+    names = {name.lower() for name in taken}
+    while base.lower() in names:
+        base = f"_{base}"
+    return base
+
+
 _shipped: set[str] = set()
 
 

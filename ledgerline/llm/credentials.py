@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, documents, slices, texts_of, written
+from .common import arrow_map, documents, fresh, slices, texts_of, written
 
 # Fixed patterns of the base kinds, in their order; group 1 is the value.
 ASSIGN = re.compile(r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -112,17 +112,18 @@ def listed(spans: Column) -> Column:
 def redact(docs: DataFrame, id_column: str = "doc_id", owner: str = "source", mark: str = "[secret]") -> DataFrame:
     """``docs`` with live secrets replaced by ``mark``; copied examples and all else stay as they are."""
     names = docs.columns
+    key, spans_name = fresh("row", names), fresh("spans", names)
     live = (
         scan(docs, id_column, owner, rows=True)
-        .select("row", F.filter("spans", lambda s: s["live"]).alias("_spans"))
-        .where(F.size("_spans") > 0)
-        .dropDuplicates(["row"])
+        .select(F.col("row").alias(key), F.filter("spans", lambda s: s["live"]).alias(spans_name))
+        .where(F.size(spans_name) > 0)
+        .dropDuplicates([key])
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist()):
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column(spans_name).to_pylist()):
                 if text is None or not spans:
                     out.append(text)
                     continue
@@ -136,14 +137,9 @@ def redact(docs: DataFrame, id_column: str = "doc_id", owner: str = "source", ma
             yield pa.RecordBatch.from_arrays(columns, names)
 
     shown = [F.col(f"`{c}`").cast("binary").alias(c) if c == "text" else F.col(f"`{c}`") for c in names]
-    merged = docs.select(*shown, row_key(id_column, owner).alias("_row")).join(live.withColumnRenamed("row", "_row"), "_row", "left")
+    merged = docs.select(*shown, row_key(id_column, owner).alias(key)).join(live, key, "left")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    out = arrow_map(merged.select(*[f"`{c}`" for c in names], "_spans"), run, schema)
+    out = arrow_map(merged.select(*[f"`{c}`" for c in names], spans_name), run, schema)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*[f"`{c}`" for c in names])
-
-
-def digest_of(hits: list[tuple[str, int, int]]) -> str:
-    """Hash of base spans, for tests."""
-    return hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in hits).encode()).hexdigest()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -153,10 +152,10 @@ def read_items(benchmark: DataFrame, item: str = "item_id", text: str = "text")
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", window: int = WINDOW, clean: bool = False,
-         keep: tuple[str, ...] = ()) -> DataFrame:
+         keep: tuple[str, ...] = (), prefix: str = "") -> DataFrame:
     """Hits of every document against every item.
 
-    Result: id, ``keep`` columns, n_words, n_hit, items (sorted array of ids as
+    Result: id, ``keep`` columns and, named with ``prefix``, n_words, n_hit, items (sorted array of ids as
     strings), spans (array of character [start, end) of the hit stretches) and,
     if ``clean``, ``cleaned``: the text without them. One row per input row, in
     one pass without a shuffle. A null or empty text has no words; an item of
@@ -208,15 +207,16 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", windo
             columns = [batch.column(c) for c in kept]
             columns += [pa.array(np.diff(words.bounds), pa.int64()), pa.array(counts, pa.int64()), pa.array(named, pa.list_(pa.string())),
                         pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]
-            names = [*kept, "n_words", "n_hit", "items", "spans"]
+            names = [*kept, *[prefix + n for n in ("n_words", "n_hit", "items", "spans")]]
             if clean:
                 columns.append(pa.array([c if v is not None else None for c, v in zip(cleaned, batch.column("text").to_pylist())], pa.binary()).cast(pa.string()))
-                names.append("cleaned")
+                names.append(prefix + "cleaned")
             yield pa.RecordBatch.from_arrays(columns, names)
 
     listed = ", ".join(f"`{c}` {types[c]}" for c in kept)
-    schema = f"{listed}, n_words bigint, n_hit bigint, items array<string>, spans array<struct<start: bigint, end: bigint>>"
-    return arrow_map(source, run, schema + (", cleaned string" if clean else ""))
+    found = "`{0}n_words` bigint, `{0}n_hit` bigint, `{0}items` array<string>, `{0}spans` array<struct<start: bigint, end: bigint>>"
+    schema = f"{listed}, " + (found + (", `{0}cleaned` string" if clean else "")).format(prefix)
+    return arrow_map(source, run, schema)
 
 
 def without(raw: bytes, cuts: list[tuple[int, int]]) -> bytes:
@@ -238,13 +238,10 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, max_coverage: fl
     cut). Documents without hits keep their text byte for byte.
     """
     names = docs.columns
-    found = scan(docs, benchmark, keep=tuple(c for c in names if c != "text"), clean=True)
-    left = found.where(F.col("n_hit") <= F.col("n_words") * F.lit(max_coverage)).withColumnRenamed("cleaned", "text")
+    prefix = max(names, key=len) + "_"  # no column starts with a longer name
+    n_words, n_hit, cleaned = (F.col(prefix + n) for n in ("n_words", "n_hit", "cleaned"))
+    found = scan(docs, benchmark, keep=tuple(c for c in names if c != "text"), clean=True, prefix=prefix)
+    left = found.where(n_hit <= n_words * F.lit(max_coverage)).withColumn("text", cleaned)
     if "n_chars" in names:
-        left = left.withColumn("n_chars", F.when(F.col("n_hit") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        left = left.withColumn("n_chars", F.when(n_hit > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return left.select(*[f"`{c}`" for c in names])
-
-
-def sha(items: list[str]) -> str:
-    """The digest of ``digest`` for tests."""
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

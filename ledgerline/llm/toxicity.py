@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, documents, slices, texts_of
+from .common import arrow_map, documents, fresh, slices, texts_of
 
 # Labelled rows of each class the model is fitted on, lowest hash of the id first, and their characters at most.
 FIT_DOCUMENTS, FIT_CHARACTERS = 1500, 8192
@@ -143,7 +143,7 @@ def fit(rows: list[tuple[bool, bytes]]) -> Model:
     split = {kind: [windows(t) for mark, t in rows if mark == kind] for kind in (True, False)}
     toxic, ordinary = split[True], split[False]
     if not toxic or not ordinary:
-        return Model(b"", b"", slope=0.0, threshold=0.0, prior=0.0) if not toxic else Model(b"", b"", prior=0.0)
+        return Model(b"", b"", threshold=1.0, prior=0.0)
     starts = typical_starts(toxic, ordinary)
 
     def typical(word: bytes) -> bytes | None:
@@ -186,8 +186,8 @@ def calibrate(model: Model, scored: list[tuple[bool, float]]) -> None:
     model.slope = best[1]
 
 
-def score(docs: DataFrame, model: Model, id_column: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
-    """id, ``keep`` columns and toxicity (0 to 1) of every row in one pass; null and empty texts get the prior, below 0.5."""
+def score(docs: DataFrame, model: Model, id_column: str = "doc_id", keep: tuple[str, ...] = (), name: str = "toxicity") -> DataFrame:
+    """id, ``keep`` columns and ``name``, the toxicity (0 to 1), of every row in one pass; null and empty texts get the prior, below 0.5."""
     kept = [c for c in dict.fromkeys((id_column, *keep))]
     source = documents(docs, *[c for c in kept if c != "text"], "text")
     types = {f.name: f.dataType.simpleString() for f in source.schema.fields} | {"text": "string"}
@@ -199,13 +199,14 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", keep: tuple[
         for batch in slices(batches):
             scores = pa.array([loaded[0].score(t) for t in texts_of(batch)], pa.float64())
             columns = [batch.column(c).cast(pa.string()) if c == "text" else batch.column(c) for c in kept]
-            yield pa.RecordBatch.from_arrays([*columns, scores], [*kept, "toxicity"])
+            yield pa.RecordBatch.from_arrays([*columns, scores], [*kept, name])
 
-    return arrow_map(source, run, ", ".join(f"`{c}` {types[c]}" for c in kept) + ", toxicity double")
+    return arrow_map(source, run, ", ".join(f"`{c}` {types[c]}" for c in kept) + f", `{name}` double")
 
 
 def remove_toxic(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", limit: float = 0.5) -> DataFrame:
     """``docs`` without those that score ``limit`` or more, by a model fitted on their own labelled rows."""
     names = docs.columns
-    scored = score(docs, fit(labelled(docs, labels, id_column)), id_column, keep=tuple(names))
-    return scored.where(F.col("toxicity") < limit).select(*[f"`{c}`" for c in names])
+    name = fresh("toxicity", names)
+    scored = score(docs, fit(labelled(docs, labels, id_column)), id_column, keep=tuple(names), name=name)
+    return scored.where(F.col(name) < limit).select(*[f"`{c}`" for c in names])

@@ -1,0 +1,479 @@
+"""Operators of the llm folder against plain restatements, on texts with every oddity."""
+
+import hashlib
+import random
+import zlib
+
+import brute
+import numpy as np
+import pytest
+from ledgerline.llm import attribution, credentials, decontaminate, fingerprint, hosts, packing, queries, shuffle, superminhash, tokenfiles, tokens, toxicity
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+WORDS = [f"w{i}" for i in range(400)]
+ODD = [None, "", " ", "\n\t", "One", "one", "A b", "a  B\n", "naïve café 12½ 'tis", "日本語 テスト 🙂", "x" * 3000, "a\x00b \x1c c", "<|endoftext|> <|ENDOFTEXT|>"]
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from ledgerline.session import build_session
+
+    session = build_session("ledgerline-llm-tests", master="local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="6", spark__driver__memory="8g")
+    session.sparkContext.setLogLevel("ERROR")
+    return session
+
+
+@pytest.fixture(autouse=True)
+def shared(spark, tmp_path):
+    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(str(tmp_path))
+
+
+def sample(seed, n=60, length=60):
+    """Random texts, near and exact copies of them, the odd ones, and a very long one."""
+    rng = random.Random(seed)
+    texts = [" ".join(rng.choices(WORDS, k=rng.randint(1, length))) for _ in range(n)]
+    for text in list(texts[: n // 2]):
+        words = text.split()
+        words[rng.randrange(len(words))] = rng.choice(WORDS)
+        texts.append(" ".join(words))
+    hot = " ".join(rng.choices(WORDS, k=50))
+    for _ in range(25):  # a group of near copies, each with its own change
+        words = hot.split()
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(len(words))] = rng.choice(WORDS)
+        texts.append(" ".join(words))
+    return texts + texts[:5] + ODD + [" ".join(rng.choices(WORDS, k=20_000))]
+
+
+@pytest.mark.parametrize("extra", [False, True])
+def test_near_duplicates_match_brute_force(spark, extra):
+    texts = sample(1)
+    docs = brute.documents(spark, texts, extra=extra).repartition(5)
+    for size in (2, 5):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in superminhash.components(docs, shingle=size).collect()}
+        assert got == brute.components(list(enumerate(texts)), size)
+    kept = superminhash.deduplicate(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (_, c) in brute.components(list(enumerate(texts)), 5).items() if i == c)
+
+
+def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(superminhash, "BLOCK", 4)
+    texts = sample(2, n=20)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in superminhash.components(brute.documents(spark, texts), shingle=2).collect()}
+    assert got == brute.components(list(enumerate(texts)), 2)
+
+
+def test_near_duplicates_of_repeated_and_null_ids(spark):
+    docs = brute.documents(spark, ["a b c", "a b c", "d e f", "a b c"], [4, 4, None, 9])
+    rows = [(r.doc_id, r.component_id) for r in superminhash.components(docs, shingle=2).collect()]
+    assert sorted(rows, key=str) == sorted([(4, 4), (4, 4), (None, None), (9, 4)], key=str)
+    assert sorted((r.doc_id for r in superminhash.deduplicate(docs).collect()), key=str) == [4, None]
+
+
+def test_superminhash_estimates_similarity():
+    rng = np.random.default_rng(5)
+    for n, common in ((300, 270), (40, 20), (3, 2)):
+        found = []
+        for _ in range(40):
+            x = rng.integers(0, 2**63, 2 * n - common).astype(np.uint64)
+            signed = superminhash.superminhash(np.concatenate([x[:n], x[n - common :]]), np.array([0, n, 2 * n]), 100)
+            found.append((signed[0] == signed[1]).mean())
+        assert abs(np.mean(found) - common / (2 * n - common)) < 0.04
+
+
+def test_long_chains_become_one_component(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "a bigint, b bigint").repartition(7)
+    got = {r.node: r.component for r in superminhash.labels(edges, "labels").collect()}
+    assert got == {**{i: 0 for i in range(1, 201)}, 501: 500}
+
+
+def test_fingerprints(spark):
+    texts = sample(3, n=20)
+    docs = brute.documents(spark, texts, extra=True).repartition(4)
+    rows = {r.doc_id: r for r in fingerprint.with_next(docs).collect()}
+    assert len(rows) == len(texts)
+    for i, text in enumerate(texts):
+        own, following = text or "", texts[(i + 1) % len(texts)] or ""
+        half = len(own) // 2
+        changed = own[: len(own) - half] + following[:half]
+        r = rows[i]
+        assert (r.n_chars, r.edited_sha256) == (len(own), hashlib.sha256(changed.encode()).hexdigest())
+        assert r.fingerprint == fingerprint.shown(plain_fingerprint(own))
+        assert r.edited_fingerprint == fingerprint.shown(plain_fingerprint(changed))
+        assert r.near_next == fingerprint.likeness(plain_fingerprint(own), plain_fingerprint(following))
+
+
+def plain_fingerprint(text):
+    """One component at a time, occurrences counted one by one."""
+    hashes = fingerprint.kmers(np.frombuffer(text.encode("utf-32-le"), "<u4"))
+    if not len(hashes):
+        return np.zeros(fingerprint.COMPONENTS, np.uint16)
+    seen, counted = {}, []
+    for h in hashes.tolist():
+        counted.append(seen.get(h, 0))
+        seen[h] = counted[-1] + 1
+    pairs = (fingerprint.mix(hashes + np.array(counted, np.uint64) * fingerprint.M2) >> np.uint64(32)).astype(np.uint32)
+    out = []
+    for j in range(fingerprint.COMPONENTS):
+        order = np.lexsort((np.arange(len(pairs)), (pairs ^ fingerprint.SHIFTS[j]) * fingerprint.MULTIPLIERS[j]))[: fingerprint.TAKEN]
+        places = sorted(order.tolist()) + [len(pairs)] * (fingerprint.TAKEN - len(order))
+        padded = np.concatenate([hashes, [np.uint64(1)]])
+        joined = padded[places[:1]]
+        for p in places[1:]:
+            joined = fingerprint.mix(joined * fingerprint.M1 + padded[p : p + 1])
+        out.append(int(fingerprint.mix(joined)[0] >> np.uint64(48)) or 1)
+    return np.array(out, np.uint16)
+
+
+def test_fingerprint_follows_edits():
+    text = " ".join(random.Random(4).choices(WORDS, k=300))
+    words = text.split()
+    one = " ".join(words[:150] + ["zzz"] + words[150:])
+    moved = " ".join(words[150:] + words[:150])
+    prints = [fingerprint.fingerprint(t) for t in (text, one, moved)]
+    near, far = fingerprint.likeness(prints[0], prints[1]), fingerprint.likeness(prints[0], prints[2])
+    assert near > 0.8 > 0.7 > far  # the same k-mers in another order are not alike
+
+
+def test_fingerprints_of_single_null_and_repeated_ids(spark):
+    alone = fingerprint.with_next(brute.documents(spark, ["abcdefghijk"])).collect()
+    assert len(alone) == 1 and alone[0].near_next == 1.0
+    rows = fingerprint.with_next(brute.documents(spark, ["bb", "aa", "cc"], [None, 7, 7])).collect()
+    assert sorted((r.doc_id, r.n_chars) for r in rows if r.doc_id) == [(7, 2), (7, 2)] and len(rows) == 3
+
+
+def library():
+    return Tokenizer.from_file(tokens.default_path())
+
+
+def test_word_tokens_are_the_library_s():
+    own, their = tokens.WordTokens(tokens.default_path()), library()
+    rng = random.Random(6)
+    alphabet = "aZ é'É.!1<|>́İßſKµ-_ \n\x1c\x85²ñ&"
+    odd = ODD[1:] + ["".join(rng.choices(alphabet, k=rng.randint(1, 9))) for _ in range(3000)] + ["Don't I'LL we've l'été", "a" * 700 + "!" * 700]
+    for text in odd:
+        assert np.frombuffer(own.ids(text.encode()), "<u4").tolist() == their.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_word_tokens_forget_and_stay_right(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 6)
+    own, their = tokens.WordTokens(tokens.default_path()), library()
+    text = "alpha, beta. gamma; delta! epsilon zeta-eta theta alpha beta"
+    assert np.frombuffer(own.ids(text.encode()), "<u4").tolist() == their.encode(text, add_special_tokens=False).ids
+
+
+def encoded(texts):
+    their = library()
+    return [np.array(their.encode(t or "", add_special_tokens=False).ids + [1], "<u4") for t in texts]
+
+
+def test_token_files_round_trip(spark):
+    texts = sample(7, n=20)
+    docs = brute.documents(spark, texts, extra=True).repartition(3)
+    manifest, content = tokenfiles.write(docs, tokenfiles.new_folder(docs))
+    rows = {r.doc_id: r for r in tokenfiles.read(manifest, content, ids=True).collect()}
+    start = 0
+    for i, ids in enumerate(encoded(texts)):
+        r = rows[i]
+        assert (r.start, r.n_tokens, r.ids_crc32, r.ids) == (start, len(ids), zlib.crc32(ids.tobytes()), ids.tolist())
+        start += len(ids)
+    file = tokenfiles.Reader(manifest.orderBy("part").first().path, content)
+    assert file.read(0).tolist() == rows[int(file.documents[0])].ids
+    with pytest.raises(ValueError, match="another dictionary"):
+        tokenfiles.Reader(manifest.first().path, content + b"x")
+
+
+def test_token_files_of_null_and_repeated_ids(spark):
+    docs = brute.documents(spark, ["b", "a", "c", None], [3, 3, None, 1])
+    manifest, content = tokenfiles.write(docs, tokenfiles.new_folder(docs), width=4)
+    rows = sorted((r.start, r.doc_id, r.n_tokens) for r in tokenfiles.read(manifest, content).collect())
+    assert rows == [(0, None, 2), (2, 1, 1), (3, 3, 2), (5, 3, 2)]
+
+
+@pytest.mark.parametrize("seed", [8, 9])
+def test_packing_keeps_every_token(spark, seed):
+    texts = sample(seed, n=40)
+    docs = brute.documents(spark, texts, extra=True).repartition(3)
+    rows = packing.pack(docs).collect()
+    by_document, by_sequence = {}, {}
+    for r in rows:
+        by_document.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    for i, ids in enumerate(encoded(texts)):
+        at = 0
+        for r in sorted(by_document[i], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids[at : at + r.length].tobytes()))
+            at += r.length
+        assert at == len(ids)
+    for found in by_sequence.values():
+        at = 0
+        for r in sorted(found, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= packing.LENGTH
+
+
+def test_packed_sequences_hold_the_ids(spark):
+    texts = sample(10, n=10)
+    packed = packing.pack(brute.documents(spark, texts), ids=True)
+    flat = sorted(i for ids in encoded(texts) for i in ids.tolist())
+    made = [r.ids for r in packing.sequences(packed, pad=49407).collect()]
+    assert all(len(ids) == packing.LENGTH or len(ids) & (len(ids) - 1) == 0 for ids in made)
+    assert sorted(i for ids in made for i in ids if i != 49407) == [i for i in flat if i != 49407]
+
+
+def test_plan_covers_demand_near_its_bound():
+    rng = np.random.default_rng(11)
+    for n in (1, 50, 20_000):
+        demand = np.bincount(np.minimum(63, rng.gamma(1, 20, n).astype(int)), minlength=64)
+        chosen = packing.plan(demand, 64)
+        assert (sum(times * counts for times, counts in chosen) == demand).all()
+        assert all((counts * np.arange(1, 65)).sum() <= 64 for _, counts in chosen)
+        least = (demand * np.arange(1, 65)).sum() / 64
+        assert sum(times for times, _ in chosen) <= least * 1.01 + 2
+    assert packing.plan(np.zeros(64, int), 64) == []
+
+
+def test_pricing_is_the_best_filling():
+    rng = np.random.default_rng(12)
+    for _ in range(30):
+        values = rng.random(9) * np.arange(1, 10)
+        best = [0.0] * 15
+        for room in range(1, 15):
+            best[room] = max([best[room - 1]] + [best[room - k] + values[k - 1] for k in range(1, 10) if k <= room])
+        worth, counts = packing.best_pattern(np.concatenate([values, np.zeros(5)]), 14)
+        assert abs(worth - best[14]) < 1e-9 and abs((np.concatenate([values, np.zeros(5)]) * counts).sum() - worth) < 1e-9
+
+
+def test_inverse():
+    rng = np.random.default_rng(13)
+    matrix = rng.random((7, 7))
+    assert np.allclose(packing.inverted(matrix) @ matrix, np.eye(7))
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 500])
+def test_shards_are_exact_and_gapless(spark, n):
+    rows = spark.range(n).selectExpr("id as doc_id", "cast(null as string) as x", "7 as shard")
+    got = shuffle.shuffle(rows, shards=4, partitions=8, slices=8).collect()
+    assert sorted(r.doc_id for r in got) == list(range(n))
+    slots = [sorted(r.slot for r in got if r.shard == s) for s in range(4)]
+    assert all(s == list(range(len(s))) for s in slots) and max(map(len, slots)) - min(map(len, slots)) <= 1
+    again = shuffle.shuffle(rows.repartition(3), shards=4, partitions=8, slices=8).collect()
+    assert {(r.doc_id, r.shard, r.slot) for r in got} == {(r.doc_id, r.shard, r.slot) for r in again}
+
+
+def test_shards_are_uniform_over_seeds(spark):
+    rows = spark.range(16).withColumnRenamed("id", "doc_id")
+    first = np.zeros((16, 4))
+    for seed in range(40):
+        for r in shuffle.shuffle(rows, shards=4, seed=seed, partitions=4, slices=4).collect():
+            first[r.doc_id, r.shard] += 1
+    assert first.sum(axis=1).tolist() == [40.0] * 16 and first.sum(axis=0).tolist() == [160.0] * 4
+    assert ((first - 10) ** 2 / 10).sum() < 90  # chi-square of 45 free cells
+
+
+def test_matrix_margins_and_hypergeometric_moments():
+    matrix = np.array(shuffle.communication_matrix([5, 0, 17, 40], [20, 21, 21], 3))
+    assert matrix.sum(axis=1).tolist() == [5, 0, 17, 40] and matrix.sum(axis=0).tolist() == [20, 21, 21]
+    rng = np.random.default_rng(14)
+    drawn = np.array([shuffle.hypergeometric(rng, 30, 70, 20) for _ in range(4000)])
+    assert abs(drawn.mean() - 6) < 0.1 and abs(drawn.var() - 20 * 0.3 * 0.7 * 80 / 99) < 0.3
+    large = shuffle.hypergeometric(rng, 10**11, 3 * 10**11, 10**10)
+    assert abs(large - 2.5 * 10**9) < 10**6
+
+
+SECRETS = [
+    None, "", "password = hunter2hunter2", 'Token:"abc"', "api_key='A1b2C3d4E5f6'", "APIKEY=ſecretſecret", "ſecret = 12345678", "AKIAABCDEFGHIJKL12 x AKIASHORT",
+    "deadbeef" * 4 + "g" + "deadbeef" * 5, "token = " + "24be64439e3e49cf46b2d7c90f3602a3", "secret: short password: longenough1 passwd=12345678",
+    "x" * 9000 + " token=abcdefgh", "é token = abcdefghé", "kZ8rQ2mX9pL4vT7nB3wY6 alone", "kZ8rQ2mX9pL4vT7nB3wY6 again",
+]
+
+
+def test_secrets_match_the_patterns(spark):
+    docs = brute.documents(spark, SECRETS, extra=True).union(brute.documents(spark, SECRETS[-4:], [90, 91, 92, 11], extra=True))
+    rows = credentials.scan(docs).collect()
+    assert len(rows) == len(SECRETS) + 4
+    texts = dict(enumerate(SECRETS)) | {90: SECRETS[-4], 91: SECRETS[-3], 92: SECRETS[-2]}
+    for r in rows:
+        if r.doc_id != 11:
+            assert [(s.kind, s.start, s.end) for s in r.spans if s.kind != "owned"] == brute.secrets(texts[r.doc_id])
+
+
+def test_ownership_separates_examples(spark):
+    example, own = "token = " + "ab12" * 10, "token = " + "cd34" * 10
+    docs = brute.documents(spark, [example] * 6 + [own, own + "!", "kZ8rQ2mX9pL4vT7nB3wY6", None])
+    rows = {r.doc_id: r.spans for r in credentials.scan(docs).collect()}
+    assert {s.live for s in rows[0]} == {False} and {s.owners for s in rows[0]} == {3}
+    assert {s.live for s in rows[6]} == {True}
+    assert [s.kind for s in rows[8]] == ["owned"]
+    clean = {r.doc_id: r for r in credentials.redact(docs).collect()}
+    assert clean[0].text == example and clean[6].text == "[secret]" and clean[7].text == "[secret]!" and clean[8].n_chars == 8 and clean[9].text is None
+
+
+def toxic_sample(n, seed):
+    rng = random.Random(seed)
+    texts, marks = [], []
+    for i in range(n):
+        words = rng.choices(WORDS, k=rng.randint(20, 200))
+        if i % 4 == 0:
+            for _ in range(max(2, len(words) // 15)):
+                words[rng.randrange(len(words))] = rng.choice(["vermin", "wretched", "scoundrel", "blockhead"])
+        texts.append(" ".join(words)), marks.append(int(i % 4 == 0))
+    return texts, marks
+
+
+def test_toxicity_is_learned(spark):
+    texts, marks = toxic_sample(400, 15)
+    docs = brute.documents(spark, texts + ODD, extra=True)
+    labels = spark.createDataFrame([(i, m) for i, m in enumerate(marks)] + [(0, None), (None, 1)], "doc_id bigint, toxic int")
+    model = toxicity.fit(toxicity.labelled(docs, labels))
+    rows = {r.doc_id: r.toxicity for r in toxicity.score(docs, model).collect()}
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum((rows[i] >= 0.5) == marks[i] for i in held) / len(held) > 0.95
+    assert all(0 <= s <= 1 for s in rows.values()) and all(rows[400 + k] < 0.5 for k in range(4))
+    kept = toxicity.remove_toxic(docs, labels)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, s in rows.items() if s < 0.5}
+
+
+def test_toxicity_without_labels_rejects_nothing(spark):
+    docs = brute.documents(spark, ["a b", None])
+    for labels in ([], [(0, 1), (1, 1)], [(0, 0)]):
+        frame = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+        assert toxicity.remove_toxic(docs, frame).count() == 2
+
+
+def test_held_out_labels_are_not_read(spark):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 0]
+    docs = brute.documents(spark, ["x y z"] * len(ids), ids)
+    assert toxicity.labelled(docs, spark.createDataFrame([(i, 1) for i in ids], "doc_id bigint, toxic int")) == []
+
+
+def benchmark(spark, items):
+    return spark.createDataFrame(items, "item_id bigint, text string")
+
+
+def test_decontamination_matches_brute_force(spark):
+    rng = random.Random(16)
+    few = WORDS[:12]  # repeats make suffix links matter
+    items = [(i, " ".join(rng.choices(few, k=rng.choice([1, 4, 9, 10, 11, 30])))) for i in range(12)] + [(50, None), (51, ""), (52, "..."), (3, "Another, text; of item 3 - with ten words or so é")]
+    texts = [" ".join(rng.choices(few + WORDS[:60], k=rng.randint(1, 300))) for _ in range(40)] + ODD
+    texts += [f"before {text} after. {items[(i * 5 + 1) % 12][1]}" for i, (_, text) in enumerate(items[:12])]
+    docs = brute.documents(spark, texts, extra=True)
+    for r in decontaminate.scan(docs, benchmark(spark, items)).collect():
+        assert (r.n_words, r.n_hit, list(r["items"])) == brute.hits(texts[r.doc_id], items)
+
+
+def test_decontamination_in_several_automata(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "AUTOMATON_BYTES", 60)
+    items = [(i, " ".join(WORDS[i * 15 : i * 15 + 15])) for i in range(6)]
+    texts = [f"x {' '.join(WORDS[5:40])} y", " ".join(WORDS[60:90]), "nothing here"]
+    assert len(decontaminate.read_items(benchmark(spark, items))) > 1
+    for r in decontaminate.scan(brute.documents(spark, texts), benchmark(spark, items)).collect():
+        assert (r.n_words, r.n_hit, list(r["items"])) == brute.hits(texts[r.doc_id], items)
+
+
+def test_contamination_is_cut_and_clean_text_stays(spark):
+    passage = "the quick brown fox jumps over a lazy dog near the river bank"
+    padding = " ".join(WORDS[:60])
+    docs = brute.documents(spark, [f"Début: {padding} {passage.upper()}. {padding}!", padding + "\n", passage, None, ""], extra=True)
+    out = {r.doc_id: r for r in decontaminate.remove_contamination(docs, benchmark(spark, [(1, passage)])).collect()}
+    assert out[0].text == f"Début: {padding} . {padding}!" and out[0].n_chars == len(out[0].text)
+    assert out[1].text == padding + "\n" and 2 not in out and out[3].text is None and out[4].text == ""
+    empty = decontaminate.remove_contamination(docs, benchmark(spark, [])).collect()
+    assert len(empty) == 5
+
+
+def test_token_counts_add_up_and_follow_the_rule(spark):
+    texts = sample(17, n=10) + ["one\ntwo\n\n  three\n", "\n\n\n", "é\nè\n日\n本", "no feed"]
+    rows = {}
+    for r in attribution.count(brute.documents(spark, texts, extra=True)).collect():
+        rows.setdefault(r.doc_id, []).append(r)
+    path = attribution.vocabulary(attribution.BYTE_RANKS)
+    for i, text in enumerate(texts):
+        found = sorted(rows[i], key=lambda r: r.section)
+        assert "".join((text or "")[r.start : r.end] for r in found) == (text or "")
+        raw = (text or "").encode()
+        borders, sections = attribution.token_spans(raw, path).tolist(), attribution.section_borders(raw).tolist()
+        counts, crossed = [0] * max(1, len(sections) - 1), [0] * max(1, len(sections) - 1)
+        for a, b in zip(borders, borders[1:]):
+            shares = [min(b, y) - max(a, x) for x, y in zip(sections, sections[1:])]
+            counts[shares.index(max(shares))] += 1
+            crossed[shares.index(max(shares))] += sum(s > 0 for s in shares) > 1
+        assert [r.n_tokens for r in found] == counts and [r.n_crossing for r in found] == crossed
+        assert {r.doc_tokens for r in found} == {len(borders) - 1}
+
+
+def test_tokens_over_borders_go_to_the_larger_share():
+    held, crossed = attribution.allocate(np.array([0, 3, 7, 8, 12]), np.array([0, 4, 5, 10, 12]))
+    assert held.tolist() == [1, 0, 3, 0] and crossed.tolist() == [0, 0, 2, 0]
+
+
+URLS = [
+    "https://A.Example.com/en/1?x", "http://www.example.com/en/2#y", "http://x.net/es/3", "http://x.net/fr", "ftp://net/fr/5", "noscheme.com/en/6", None, "",
+    "http://b.com?q/en/", "http://xcom/en/7", "http://c.org/de/8", "://", "http://deep.www.example.com/en/9", "http://h.org/de/12", "HTTP://User@H.ORG:80/de/3/4",
+]
+
+
+def judged(url):
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        for mark in "?#":
+            rest = rest.split(mark, 1)[0] if mark in rest else rest
+        host, _, tail = rest.partition("/")
+        path = "/" + tail if "/" in rest else ""
+        host = brute.lower(host)
+    fits = [(len(h + p), h + p, v) for v, h, p in hosts.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return host, path, *(max(fits)[1:] if fits else (None, None))
+
+
+def test_url_rules(spark):
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(URLS)], "page_id bigint, url string")
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    for r in hosts.judge(pages, labels).collect():
+        host, path, rule, verdict = judged(URLS[r.page_id])
+        assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, verdict or "allow")
+
+
+def test_reputation_blocks_bad_hosts_and_shrinks_small_ones(spark):
+    pages, labels, n = [], [], 0
+    for host, good, bad in (("bad.site.org", 10, 90), ("fine.site.org", 195, 5), ("new.site.org", 0, 1), ("calm.place.org", 300, 6), ("other.place.org", 100, 2)):
+        for k in range(good + bad):
+            pages.append((n, f"http://{host}/de/{n}"))
+            labels.append((n, int(k < good), 0))
+            n += 1
+    pages = spark.createDataFrame(pages + [(n, "http://none.else.org/de/x")], "page_id bigint, url string")
+    split = hosts.parsed(pages)
+    found = {r.host: r for r in hosts.reputation(hosts.outcomes(split, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))).collect()}
+    assert found["bad.site.org"].blocked and not any(r.blocked for h, r in found.items() if h != "bad.site.org")
+    assert found["calm.place.org"].share < found["new.site.org"].share < 1 and (found["bad.site.org"].seen, found["bad.site.org"].bad) == (100, 90)
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_empty_tables_give_typed_empty_results(spark, tmp_path, name):
+    brute.documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    benchmark(spark, []).write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    frame = queries.QUERIES[name](spark, str(tmp_path))
+    assert frame.collect() == [] and frame.columns
+
+
+def test_pipeline_on_empty_and_odd_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    texts = sample(18, n=10)
+    brute.documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    benchmark(spark, [(1, " ".join(texts[-1].split()[100:130]))]).write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    first = {i for i, (_, c) in brute.components(list(enumerate(texts)), 5).items() if i == c}
+    assert {r.doc_id for r in rows} == first
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, str(tmp_path))
+        assert kept.dtypes == docs.dtypes, name
+        assert stage(spark, docs.where(F.lit(False)), str(tmp_path)).count() == 0
