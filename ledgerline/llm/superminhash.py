@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, SPACED, U64, Words, arrow_map, documents, mix, slices, texts_of, written
+from .common import GOLDEN, SPACED, U64, Words, arrow_map, documents, fresh, mix, slices, texts_of, written
 
 SHINGLE = 5
 SIMILARITY = (80, 100)  # 100 * intersection >= 80 * union
@@ -17,8 +19,16 @@ SIMILARITY = (80, 100)  # 100 * intersection >= 80 * union
 BANDS, ROWS = 25, 4
 # Equal components (of 100) below which a pair is not verified; at 0.8 fewer occur with probability 1e-7.
 LIKELY = 58
-# Rows of a bucket compared with each other at once; larger buckets are split into pairs of blocks.
-BLOCK = 1024
+# Rows of a bucket compared with each other at once, and shingles of their texts; larger buckets are split into pairs of blocks.
+BLOCK, BLOCK_SHINGLES = 1024, 4_000_000
+
+
+class Settings(NamedTuple):
+    shingle: int
+    similarity: tuple[int, int]
+    bands: int
+    rows: int
+    floor: int
 
 
 def superminhash(shingles: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarray:
@@ -98,7 +108,6 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: tuple
     """Pairs (a, b) whose full sets reach the similarity. Text travels, as it packs better than hashed sets."""
     left = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("_b")), "b")
     both = left.join(texts.select(F.col("node").alias("a"), F.col("text").alias("_a")), "a")
-    least, whole = similarity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_b"):
@@ -106,14 +115,7 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: tuple
             needed = dict(zip(a, texts_of(batch, "_a"))) | dict(zip(b, texts_of(batch, "_b")))
             place = {node: i for i, node in enumerate(needed)}
             sets, bounds = distinct(list(needed.values()), shingle)
-            kept = []
-            for i, (x, y) in enumerate(zip(a, b)):
-                x, y = (sets[bounds[place[n]] : bounds[place[n] + 1]] for n in (x, y))
-                if len(x) < len(y):
-                    x, y = y, x
-                common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
-                if whole * common >= least * (len(x) + len(y) - common):
-                    kept.append(i)
+            kept = [i for i, pair in enumerate(zip(a, b)) if similar(*(sets[bounds[place[n]] : bounds[place[n] + 1]] for n in pair), similarity)]
             taken = batch.take(pa.array(kept, pa.int64()))
             yield pa.RecordBatch.from_arrays([taken.column("a"), taken.column("b")], ["a", "b"])
 
@@ -121,12 +123,12 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: tuple
 
 
 def buckets(classes: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(node, bucket, pivot, n) for every band of a class, where bucket has n > 1 nodes and pivot is the smallest."""
+    """(node, band, bucket, pivot, n, shingles) for every band of a class, where bucket has n > 1 nodes and pivot is the smallest."""
     width = 2 * rows
     keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * width + 1, F.lit(width))))
-    spread = classes.select("node", F.explode(keys).alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    return spread.join(shared, "bucket")
+    spread = classes.select("node", "n_shingles", F.posexplode(keys).alias("band", "bucket"))
+    shared = spread.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")).where("n > 1")
+    return spread.drop("n_shingles").join(shared, "bucket")
 
 
 def pivots(spread: DataFrame, classes: DataFrame, floor: int) -> DataFrame:
@@ -151,59 +153,91 @@ def alike(pairs: DataFrame, floor: int) -> DataFrame:
     return arrow_map(pairs, run, "a bigint, b bigint")
 
 
-def crossing(spread: DataFrame, classes: DataFrame, found: DataFrame, floor: int, best_only: bool) -> DataFrame:
-    """Likely pairs of nodes that share a bucket but no component yet.
+def crossing(spread: DataFrame, classes: DataFrame, texts: DataFrame, found: DataFrame, settings: Settings) -> DataFrame:
+    """Verified links between nodes that share a bucket but no component yet.
 
-    A bucket is compared in blocks of BLOCK rows: block i of a bucket meets
-    block j >= i in one group, so no task holds more than two blocks. With
-    ``best_only``, of the pairs between two components in a group only the most
-    alike is given: if it holds, the others are settled.
+    A bucket is compared in blocks of BLOCK rows and BLOCK_SHINGLES shingles:
+    block i meets block j >= i in one cell, so a task holds two blocks at most.
+    A pair is looked at in the first band it shares. In a cell likely pairs are
+    taken by likeness; once two components are joined there, their other pairs
+    are settled. What leaves a cell is a forest of links, fewer than its rows.
     """
-    members = spread.select("node", "bucket", "n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    members = spread.select("node", "bucket", "band", "n", "shingles").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_ = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    members = members.join(open_.select("bucket"), "bucket").join(classes.select("node", "signature"), "node")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    members = members.withColumn("_block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("_blocks", blocks)
-    # block k takes part in the groups (k, k), (k, j > k) and (j < k, k)
-    grouped = members.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(
-        F.xxhash64("bucket", F.least("_block", "_with"), F.greatest("_block", "_with")).alias("cell"), "node", "component", "signature"
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    members = members.join(open_.select("bucket"), "bucket").withColumn("_blocks", blocks)
+    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    # block k takes part in the cells (k, k), (k, j > k) and (j < k, k)
+    cells = members.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(
+        F.xxhash64("bucket", F.least("block", "_with"), F.greatest("block", "_with")).alias("cell"),
+        "band", "block", (F.col("block") == F.col("_with")).alias("own"), "node", "component",
     )
+    held = cells.join(classes.select("node", "signature"), "node").join(texts, "node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, parts = None, []
         for batch in batches:
-            cells = batch.column("cell").to_numpy()
-            edges = np.concatenate([[0], np.flatnonzero(cells[1:] != cells[:-1]) + 1, [len(cells)]]) if len(cells) else []
+            if not batch.num_rows:
+                continue
+            values = batch.column("cell").to_numpy()
+            edges = np.concatenate([[0], np.flatnonzero(values[1:] != values[:-1]) + 1, [len(values)]])
             for first, last in zip(edges[:-1], edges[1:]):
-                if cells[first] != cell and parts:
-                    yield from compared(pa.Table.from_batches(parts))
+                if values[first] != cell and parts:
+                    yield from linked(pa.Table.from_batches(parts), settings)
                     parts = []
-                cell = cells[first]
+                cell = values[first]
                 parts.append(batch.slice(first, last - first))
         if parts:
-            yield from compared(pa.Table.from_batches(parts))
-
-    def compared(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        nodes, components = group.column("node").to_numpy(), group.column("component").to_numpy()
-        signed = np.frombuffer(b"".join(group.column("signature").to_pylist()), "<u2").reshape(len(nodes), -1)
-        low, high, same = [], [], []
-        for i in range(len(nodes) - 1):
-            others = i + 1 + np.flatnonzero(components[i + 1 :] != components[i])
-            equal = (signed[others] == signed[i]).sum(axis=1)
-            others, equal = others[equal >= floor], equal[equal >= floor]
-            low.append(np.full(len(others), i)), high.append(others), same.append(equal)
-        low, high, same = np.concatenate(low or [[]]).astype(int), np.concatenate(high or [[]]).astype(int), np.concatenate(same or [[]])
-        if best_only and len(low):
-            c, d = components[low], components[high]
-            order = np.lexsort((-same, np.maximum(c, d), np.minimum(c, d)))
-            c, d = np.minimum(c, d)[order], np.maximum(c, d)[order]
-            first = np.concatenate([[True], (c[1:] != c[:-1]) | (d[1:] != d[:-1])])
-            low, high = low[order][first], high[order][first]
-        if len(low):
-            a, b = np.minimum(nodes[low], nodes[high]), np.maximum(nodes[low], nodes[high])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-    return arrow_map(grouped.repartition("cell").sortWithinPartitions("cell"), compare, "a bigint, b bigint").distinct()
+            yield from linked(pa.Table.from_batches(parts), settings)
+
+    return arrow_map(held.repartition("cell").sortWithinPartitions("cell"), compare, "a bigint, b bigint").distinct()
+
+
+def linked(cell: pa.Table, settings: Settings) -> Iterator[pa.RecordBatch]:
+    nodes, components, blocks = (cell.column(c).to_numpy() for c in ("node", "component", "block"))
+    band, own = cell.column("band")[0].as_py(), cell.column("own")[0].as_py()
+    signed = np.frombuffer(b"".join(cell.column("signature").to_pylist()), "<u2").reshape(len(nodes), settings.bands, settings.rows)
+    low, high, same = [], [], []
+    for i in range(len(nodes) - 1):
+        others = i + 1 + np.flatnonzero((components[i + 1 :] != components[i]) & ((blocks[i + 1 :] == blocks[i]) == own))
+        equal = signed[others] == signed[i]
+        count = equal.sum(axis=(1, 2))
+        kept = (count >= settings.floor) & (equal.all(axis=2).argmax(axis=1) == band)
+        low.append(np.full(kept.sum(), i)), high.append(others[kept]), same.append(count[kept])
+    low, high, same = (np.concatenate(x or [[]]).astype(np.int64) for x in (low, high, same))
+    if not len(low):
+        return
+    needed = np.unique(np.concatenate([low, high]))
+    sets, bounds = distinct(cell.column("text").take(pa.array(needed)).to_pylist(), settings.shingle)
+    place = np.searchsorted(needed, np.arange(len(nodes)))
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            x = up
+        return x
+
+    found = []
+    for k in np.argsort(-same, kind="stable"):
+        i, j = low[k], high[k]
+        a, b = root(int(components[i])), root(int(components[j]))
+        if a != b and similar(*(sets[bounds[place[x]] : bounds[place[x] + 1]] for x in (i, j)), settings.similarity):
+            parent[max(a, b)] = min(a, b)
+            found.append(sorted((int(nodes[i]), int(nodes[j]))))
+    if found:
+        a, b = zip(*found)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def similar(x: np.ndarray, y: np.ndarray, similarity: tuple[int, int]) -> bool:
+    """Whether sorted sets reach the similarity; sizes too far apart are not compared."""
+    least, whole = similarity
+    if len(x) < len(y):
+        x, y = y, x
+    if whole * len(y) < least * len(x):
+        return False
+    common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+    return whole * common >= least * (len(x) + len(y) - common)
 
 
 def labels(edges: DataFrame, label: str) -> DataFrame:
@@ -256,12 +290,13 @@ def components(docs: DataFrame, id_column: str = "doc_id", shingle: int = SHINGL
     """id, n_shingles, component_id (smallest id reachable over links) for every document.
 
     Documents of equal sets are one class, linked to each other, and searched
-    once. Links between classes come in three turns, each verified on full sets
-    and merged before the next: every class with the smallest of its buckets;
-    the most alike pair between any two components in a bucket; all remaining
-    likely pairs between components. So a group of near copies costs a few
-    pairs a member, and no likely pair of different components goes unverified.
-    Ids are 64-bit integers; a null id or an empty text is linked with nothing
+    once. Links between classes come in two turns, verified on full sets: every
+    class with the smallest of its buckets; then, between the components these
+    links make, all remaining likely pairs of a bucket. So a group of near
+    copies costs a few pairs a member, and no likely pair of different
+    components goes unverified.
+    Ids are 64-bit integers and stand for one document each (of several texts
+    the smallest); a null id or an empty text is linked with nothing
     (component: its own id). Repeated rows are in one class. An empty table
     gives no rows.
     """
@@ -276,11 +311,8 @@ def components(docs: DataFrame, id_column: str = "doc_id", shingle: int = SHINGL
     texts = written(texts_for(docs, spread.select("node").distinct(), id_column), "texts")
     links = written(verified(pivots(spread, classes, floor), texts, shingle, similarity), "links")
     found = labels(links, "labels")
-    for best_only in (True, False):
-        pairs = written(crossing(spread, classes, found, floor, best_only), "crossing")
-        if not pairs.isEmpty():
-            links = links.union(written(verified(pairs, texts, shingle, similarity), "links"))
-            found = labels(links, "labels")
+    more = written(crossing(spread, classes, texts, found, Settings(shingle, similarity, bands, rows, floor)), "links")
+    found = labels(links.union(more), "labels")
     named = classes.select("content", "node").join(found, "node", "left").select("content", F.coalesce("component", "node").alias("component_id"))
     return profiled.join(named, "content", "left").select(
         id_column, "n_shingles", F.coalesce("component_id", F.col(id_column)).alias("component_id")
@@ -288,8 +320,13 @@ def components(docs: DataFrame, id_column: str = "doc_id", shingle: int = SHINGL
 
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", **settings) -> DataFrame:
-    """``docs`` without all but the first (smallest id) of each component; rows of null id stay, repeated rows of one id are one."""
+    """``docs`` without all but the smallest id of each component.
+
+    An id stands for one document: of rows that share it, the one of the
+    smallest text stays. Rows of null id stay, as they have no component.
+    """
     found = components(docs, id_column, **settings)
-    kept = found.where(F.col(id_column) == F.col("component_id")).select(F.col(id_column).alias("_kept")).distinct()
-    first = docs.join(kept, F.col(id_column) == F.col("_kept"), "left_semi").dropDuplicates([id_column])
-    return first.unionByName(docs.where(F.col(id_column).isNull()))
+    kept = found.where(F.col(id_column) == F.col("component_id")).select(id_column).distinct()
+    place = fresh("place", docs.columns)
+    numbered = docs.join(kept, id_column, "left_semi").withColumn(place, F.row_number().over(W.partitionBy(id_column).orderBy("text")))
+    return numbered.where(F.col(place) == 1).select(*[f"`{c}`" for c in docs.columns]).unionByName(docs.where(F.col(id_column).isNull()))
