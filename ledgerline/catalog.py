@@ -115,7 +115,7 @@ def per_quarter(frame: DataFrame) -> DataFrame:
     return frame.groupBy("quarter").agg(
         F.count(F.lit(1)).alias("rows"),
         F.countDistinct("accession_number").alias("filings"),
-        F.sum(F.col("transaction_shares").cast("decimal(18,0)")).alias("shares"),
+        F.try_sum(F.col("transaction_shares").cast("decimal(38,9)")).alias("shares"),
     )
 
 
@@ -172,11 +172,11 @@ def quarters_restricted(spark, folder):
 
 @query
 def index_join_documents(spark, folder):
-    joined = documents.with_documents(listings(spark, folder), filing_documents(spark, folder))
-    return joined.select(
-        "accession_number", "cik", "company_name", "form_type", "filing_date", "quarter",
-        F.size(markup.blocks("xml", "nonDerivativeTransaction")).alias("transactions"),
+    counted = filing_documents(spark, folder).select(
+        "accession_number", F.size(markup.blocks("xml", "nonDerivativeTransaction")).alias("transactions")
     )
+    joined = documents.with_documents(listings(spark, folder), counted)
+    return joined.select("accession_number", "cik", "company_name", "form_type", "filing_date", "quarter", "transactions")
 
 
 @query
@@ -535,12 +535,12 @@ def top10_sellers(spark, folder):
 
 @query
 def role_distribution(spark, folder):
-    return serving.role_distribution(trader_feed(spark, folder))
+    return serving.role_distribution(marts.trader_totals(transactions(spark, folder)))
 
 
 @query
 def role_rollup(spark, folder):
-    return serving.role_rollup(trader_feed(spark, folder))
+    return serving.role_rollup(marts.trader_totals(transactions(spark, folder)))
 
 
 @query
@@ -550,17 +550,17 @@ def leaderboard(spark, folder):
 
 @query
 def top10_bullish(spark, folder):
-    return serving.most_bullish(sentiment_feed(spark, folder))
+    return serving.most_bullish(sentiment(spark, folder))
 
 
 @query
 def top10_bearish(spark, folder):
-    return serving.most_bearish(sentiment_feed(spark, folder))
+    return serving.most_bearish(sentiment(spark, folder))
 
 
 @query
 def label_counts(spark, folder):
-    return serving.label_counts(sentiment_feed(spark, folder))
+    return serving.label_counts(sentiment(spark, folder))
 
 
 @query

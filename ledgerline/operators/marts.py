@@ -32,21 +32,35 @@ def net_over(window) -> Column:
 
 
 def monthly_totals(transactions: DataFrame) -> DataFrame:
-    return (
+    """Month x company x flag.
+
+    Aggregated per filing and insider first: the two distinct counts, which
+    copy every row they see, then see few.
+    """
+    per_filing = (
         _traded(transactions)
         .where(F.col("issuer_ticker").isNotNull())
-        .groupBy(*MONTHLY_KEYS)
+        .groupBy(*MONTHLY_KEYS, "accession_number", "insider_name")
         .agg(
-            F.countDistinct("accession_number").alias("num_filings"),
-            F.countDistinct("insider_name").alias("num_unique_insiders"),
-            F.count(F.lit(1)).alias("num_transactions"),
-            F.sum("transaction_shares").alias("total_shares"),
-            exact_sum("transaction_value_usd").alias("total_value_usd"),
-            exact_avg("price_per_share", PRICE_UNITS).alias("avg_price_per_share"),
-            F.max("transaction_value_usd").alias("max_single_transaction_usd"),
-            F.max("ingested_at").alias("last_ingested_at"),
+            F.count(F.lit(1)).alias("rows"),
+            F.try_sum("transaction_shares").alias("shares"),
+            exact_sum("transaction_value_usd").alias("value"),
+            exact_sum("price_per_share", PRICE_UNITS).alias("price"),
+            F.count("price_per_share").alias("priced"),
+            F.max("transaction_value_usd").alias("largest"),
+            F.max("ingested_at").alias("loaded"),
         )
     )
+    return per_filing.groupBy(*MONTHLY_KEYS).agg(
+        F.countDistinct("accession_number").alias("num_filings"),
+        F.countDistinct("insider_name").alias("num_unique_insiders"),
+        F.sum("rows").alias("num_transactions"),
+        F.try_sum("shares").cast("decimal(38,9)").alias("total_shares"),
+        exact_sum("value").alias("total_value_usd"),
+        F.try_divide(exact_sum("price", PRICE_UNITS), F.sum("priced")).alias("avg_price_per_share"),
+        F.max("largest").alias("max_single_transaction_usd"),
+        F.max("loaded").alias("last_ingested_at"),
+    )
 
 
 def monthly_activity(transactions: DataFrame) -> DataFrame:
@@ -64,7 +78,7 @@ def trader_totals(transactions: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("num_transactions"),
             F.countDistinct("transaction_month_key").alias("num_active_months"),
-            F.sum("transaction_shares").alias("total_shares"),
+            F.try_sum("transaction_shares").alias("total_shares"),
             exact_sum("transaction_value_usd").alias("total_value_usd"),
             exact_avg("transaction_value_usd").alias("avg_transaction_value_usd"),
             F.max("transaction_value_usd").alias("max_transaction_value_usd"),
@@ -97,7 +111,7 @@ def company_totals(transactions: DataFrame) -> DataFrame:
                 for flag in TRADED_FLAGS
                 for total in (
                     F.count_if(F.col("buy_sell_flag") == flag).alias(f"{flag}_rows"),
-                    F.sum(when_flag(flag, "transaction_shares")).alias(f"{flag}_shares"),
+                    F.try_sum(when_flag(flag, "transaction_shares")).alias(f"{flag}_shares"),
                     exact_sum(when_flag(flag, "transaction_value_usd")).alias(f"{flag}_value"),
                 )
             ],
@@ -113,7 +127,7 @@ def company_totals(transactions: DataFrame) -> DataFrame:
             for flag in TRADED_FLAGS
             for total in (
                 F.sum(f"{flag}_rows").alias(f"num_{flag.lower()}_transactions"),
-                F.sum(f"{flag}_shares").cast("decimal(38,9)").alias(f"total_{flag.lower()}_shares"),
+                F.try_sum(f"{flag}_shares").cast("decimal(38,9)").alias(f"total_{flag.lower()}_shares"),
                 exact_sum(f"{flag}_value").alias(f"total_{flag.lower()}_value_usd"),
             )
         ],

@@ -8,30 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..sources.scratch import written
-
-# Largest table ranked in one window per group.
-ONE_TASK_ROWS = 1_000_000
-
 # Value bins per decade. Bin limits are fixed, so a bin of money totals holds at
 # most 0.23% of its magnitude in distinct cents, however many rows share them.
 _BINS_PER_DECADE = 1000
 
 
-def with_ranks(frame: DataFrame, ranks: Mapping[str, str], within: str | None = None) -> DataFrame:
-    """Add ``rank() over (partition by within order by value desc)`` columns.
-
-    ``ranks`` maps new column -> value column; ``within`` names a column of few
-    values (or none, for one global rank). The input is written once: its size
-    decides the method, and neither method computes it again.
-    """
-    table, rows = written(frame, "ranked")
-    if rows <= ONE_TASK_ROWS:
-        return windowed_ranks(table, ranks, within)
-    return counted_ranks(table, ranks, within)
-
-
 def windowed_ranks(frame: DataFrame, ranks: Mapping[str, str], within: str | None = None) -> DataFrame:
+    """The same ranks from one sort per group; for uses that cut ranks in the map tasks."""
     group = F.col(within) if within else F.lit(0)
     return frame.select(
         "*",
@@ -42,10 +25,12 @@ def windowed_ranks(frame: DataFrame, ranks: Mapping[str, str], within: str | Non
     )
 
 
-def counted_ranks(frame: DataFrame, ranks: Mapping[str, str], within: str | None = None) -> DataFrame:
-    """The same ranks from counts: rank = 1 + rows with a larger value.
+def with_ranks(frame: DataFrame, ranks: Mapping[str, str], within: str | None = None) -> DataFrame:
+    """Add ``rank() over (partition by within order by value desc)`` columns, at any size the same way.
 
-    Rows collapse to (value, count) before any sort, so ties of any size are one
+    ``ranks`` maps new column -> value column; ``within`` names a column of few
+    values (or none, for one global rank). A rank is 1 + the rows with a larger
+    value. Rows collapse to (value, count) before any sort, so ties of any size are one
     row. Larger values in other bins are a prefix sum over the fixed set of
     bins; larger values in the same bin are a running count inside the bin. The
     join back meets one position per value, so a value shared by many rows is a
@@ -69,9 +54,22 @@ def counted_ranks(frame: DataFrame, ranks: Mapping[str, str], within: str | None
 
 
 def _bin(value: Column) -> Column:
-    """Bin number, larger for larger values; monotone, so bins never interleave."""
+    """Bin number, larger for larger values; monotone, so bins never interleave.
+
+    Finite values lie within 1,310,000 of 0; infinities have bins beyond, NaN,
+    which sorts above all numbers, one beyond those.
+    """
+    value = value.cast("double")
     size = F.floor(F.log10(F.abs(value)) * _BINS_PER_DECADE) + 1_000_000
-    return F.when(value > 0, size).when(value < 0, -size).when(value == 0, F.lit(0))
+    infinite = F.lit(float("inf"))
+    return (
+        F.when(F.isnan(value), F.lit(3_000_000))
+        .when(value == infinite, F.lit(2_000_000))
+        .when(value == -infinite, F.lit(-2_000_000))
+        .when(value > 0, size)
+        .when(value < 0, -size)
+        .when(value == 0, F.lit(0))
+    )
 
 
 def _positions(values: DataFrame) -> DataFrame:

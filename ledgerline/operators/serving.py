@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import exact_sum, ratio
 from .marts import TRADER_KEYS
-from .ranking import windowed_ranks
+from .ranking import windowed_ranks, with_ranks
 
 FEED_LIMIT = 50
 SENTIMENT_LIMIT = 100
@@ -48,14 +48,13 @@ def trader_feed(traders: DataFrame, limit: int = FEED_LIMIT) -> DataFrame:
 
 
 def leading_traders(totals: DataFrame, limit: int = FEED_LIMIT) -> DataFrame:
-    """``trader_feed`` straight from unranked totals, for limits up to EARLY_LIMIT.
+    """``trader_feed`` straight from unranked totals.
 
-    The rank filter reaches the window, so map tasks keep only their leaders
-    and the full ranking is never built.
+    For limits up to EARLY_LIMIT the rank filter reaches the window, so map
+    tasks keep only their leaders; for larger ones the whole table is ranked.
     """
-    if limit > EARLY_LIMIT:
-        raise ValueError(f"limit above {EARLY_LIMIT}: rank the whole table with top_traders")
-    return trader_feed(windowed_ranks(totals, {"rank_by_value": "total_value_usd"}, "buy_sell_flag"), limit)
+    rank = windowed_ranks if limit <= EARLY_LIMIT else with_ranks
+    return trader_feed(rank(totals, {"rank_by_value": "total_value_usd"}, "buy_sell_flag"), limit)
 
 
 def sentiment_feed(sentiment: DataFrame, limit: int = SENTIMENT_LIMIT) -> DataFrame:
@@ -148,13 +147,14 @@ def top_by_flag(feed: DataFrame, flag: str, n: int = TOP) -> DataFrame:
     )
 
 
-def role_distribution(feed: DataFrame) -> DataFrame:
-    return feed.groupBy("insider_role", "buy_sell_flag").agg(F.count(F.lit(1)).alias("count"))
+def role_distribution(traders: DataFrame) -> DataFrame:
+    """Rows per role and flag, of all traders or of a feed."""
+    return traders.groupBy("insider_role", "buy_sell_flag").agg(F.count(F.lit(1)).alias("count"))
 
 
-def role_rollup(feed: DataFrame) -> DataFrame:
+def role_rollup(traders: DataFrame) -> DataFrame:
     """Role distribution with the subtotal per role and the grand total."""
-    return feed.rollup("insider_role", "buy_sell_flag").agg(F.count(F.lit(1)).alias("count"))
+    return traders.rollup("insider_role", "buy_sell_flag").agg(F.count(F.lit(1)).alias("count"))
 
 
 def leaderboard(feed: DataFrame) -> DataFrame:
@@ -171,7 +171,7 @@ def top_sellers(transactions: DataFrame, as_of: dt.date, days: int = 90, n: int
         .where((day > F.lit(as_of - dt.timedelta(days=days))) & (day <= F.lit(as_of)))
         .groupBy("insider_name")
         .agg(
-            F.sum("transaction_shares").alias("total_shares"),
+            F.try_sum("transaction_shares").alias("total_shares"),
             exact_sum("transaction_value_usd").alias("total_value_usd"),
             F.count(F.lit(1)).alias("num_transactions"),
         )
@@ -183,17 +183,17 @@ def top_sellers(transactions: DataFrame, as_of: dt.date, days: int = 90, n: int
 # ── companies ────────────────────────────────────────────────────────────
 
 
-def most_bullish(feed: DataFrame, n: int = TOP) -> DataFrame:
-    return feed.orderBy(F.col("net_value_usd").desc_nulls_last(), *_SENTIMENT_ORDER).limit(n)
+def most_bullish(sentiment: DataFrame, n: int = TOP) -> DataFrame:
+    return sentiment.orderBy(F.col("net_value_usd").desc_nulls_last(), *_SENTIMENT_ORDER).limit(n)
 
 
-def most_bearish(feed: DataFrame, n: int = TOP) -> DataFrame:
-    return feed.orderBy(F.col("net_value_usd").asc_nulls_last(), *_SENTIMENT_ORDER).limit(n)
+def most_bearish(sentiment: DataFrame, n: int = TOP) -> DataFrame:
+    return sentiment.orderBy(F.col("net_value_usd").asc_nulls_last(), *_SENTIMENT_ORDER).limit(n)
 
 
-def label_counts(feed: DataFrame) -> DataFrame:
+def label_counts(sentiment: DataFrame) -> DataFrame:
     return (
-        feed.where(F.col("sentiment_label").isNotNull())
+        sentiment.where(F.col("sentiment_label").isNotNull())
         .groupBy("sentiment_label")
         .agg(F.count(F.lit(1)).alias("count"))
         .orderBy(F.col("count").desc(), "sentiment_label")

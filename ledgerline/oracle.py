@@ -35,8 +35,8 @@ def _net(over: str) -> str:
 
 
 _ACCESSION = (
-    "lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || '-' || lpad(CAST(year(o_orderdate) % 100 AS VARCHAR), 2, '0')"
-    " || '-' || lpad(CAST(o_custkey AS VARCHAR), 6, '0')"
+    "lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(10, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0') || '-' || lpad(CAST(year(o_orderdate) % 100 AS VARCHAR), 2, '0')"
+    " || '-' || lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(6, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0')"
 )
 _QUARTER = "CAST(year(o_orderdate) AS VARCHAR) || 'Q' || CAST(quarter(o_orderdate) AS VARCHAR)"
 
@@ -381,9 +381,9 @@ def _top_by_flag(flag: str) -> str:
 def _extreme(order: str) -> str:
     return _out(
         _SENTIMENT_COLUMNS,
-        f"""(SELECT * FROM sentiment_feed
+        f"""(SELECT * FROM sentiment
              ORDER BY net_value_usd {order} NULLS LAST, issuer_ticker NULLS FIRST, issuer_name NULLS FIRST LIMIT 10)""",
-        "sentiment_feed",
+        "sentiment",
     )
 
 
@@ -557,11 +557,11 @@ ORACLE = {
     "top10_buyers": _top_by_flag("Buy"),
     "top10_sellers": _top_by_flag("Sell"),
     "role_distribution": _sql(
-        'SELECT insider_role, buy_sell_flag, count(*) AS "count" FROM trader_feed GROUP BY ALL', "trader_feed"
+        'SELECT insider_role, buy_sell_flag, count(*) AS "count" FROM traders GROUP BY ALL', "traders"
     ),
     "role_rollup": _sql(
-        'SELECT insider_role, buy_sell_flag, count(*) AS "count" FROM trader_feed GROUP BY ROLLUP (insider_role, buy_sell_flag)',
-        "trader_feed",
+        'SELECT insider_role, buy_sell_flag, count(*) AS "count" FROM traders GROUP BY ROLLUP (insider_role, buy_sell_flag)',
+        "traders",
     ),
     "leaderboard": _sql(
         """SELECT insider_name, issuer_ticker, insider_role, buy_sell_flag, total_value_usd, num_transactions, rank_by_value
@@ -571,7 +571,7 @@ ORACLE = {
     "top10_bullish": _extreme("DESC"),
     "top10_bearish": _extreme("ASC"),
     "label_counts": _sql(
-        'SELECT sentiment_label, count(*) AS "count" FROM sentiment_feed GROUP BY sentiment_label', "sentiment_feed"
+        'SELECT sentiment_label, count(*) AS "count" FROM sentiment GROUP BY sentiment_label', "sentiment"
     ),
     "sell_buy_ratio": _sql(
         """SELECT issuer_ticker, issuer_name, num_buy_transactions, num_sell_transactions,

@@ -60,3 +60,18 @@ def test_document_text_is_not_shuffled(spark, tmp_path):
 def test_top_lists_do_not_sort_everything(spark, tmp_path):
     monthly = marts.monthly_activity(insider_transactions(clean(landed(spark, tmp_path))))
     assert "TakeOrderedAndProject" in plan_of(serving.top_companies(monthly))
+
+
+def test_monthly_rows_are_aggregated_before_they_are_expanded(spark, tmp_path):
+    plan = plan_of(marts.monthly_activity(insider_transactions(clean(landed(spark, tmp_path)))))
+    below = plan[plan.index("Expand"):]
+    assert "HashAggregate(keys=[transaction_month_key" in below or "SortAggregate(key=[transaction_month_key" in below
+
+
+def test_first_filings_sort_no_whole_quarter(spark, tmp_path):
+    path = str(tmp_path / "index")
+    spark.createDataFrame([("x", "2024Q1")], "value string, quarter string").write.parquet(path)
+    lines = spark.read.parquet(path)
+    for n in (10, 1001):
+        plan = plan_of(index.first_filings(index.parse_index(lines), n))
+        assert "row_number() windowspecdefinition(quarter" in plan and "_part" in plan.split("row_number() windowspecdefinition(quarter")[1][:40]
