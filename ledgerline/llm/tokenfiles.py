@@ -43,14 +43,17 @@ def opened(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 def train(docs: DataFrame, tokenizer: str, id_column: str = "doc_id") -> bytes:
-    """Dictionary content from a bounded sample of short documents; empty if there is nothing to learn from."""
+    """Dictionary content from a bounded sample of short documents; empty if there is nothing to learn from.
+
+    Ids alone travel to choose the sample; then the texts of the chosen, one of
+    each id, are picked up by a join with those few ids.
+    """
     import zstandard as zstd
 
-    sample = (
-        documents(docs.where(F.length("text") <= TRAINING_CHARACTERS), id_column, "text")
-        .orderBy(F.xxhash64(id_column), "text")
-        .limit(TRAINING_DOCUMENTS)
-    )
+    short = docs.where(F.length("text") <= TRAINING_CHARACTERS)
+    chosen = short.select(id_column).where(F.col(id_column).isNotNull()).distinct().orderBy(F.xxhash64(id_column), id_column).limit(TRAINING_DOCUMENTS)
+    texts = documents(short, id_column, "text").join(F.broadcast(chosen), id_column)  # TRAINING_DOCUMENTS ids
+    sample = texts.groupBy(id_column).agg(F.min("text").alias("text")).orderBy(F.xxhash64(id_column), id_column)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = word_tokens(tokenizer).ids
