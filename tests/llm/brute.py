@@ -84,3 +84,41 @@ def secrets(text):
             if (kind == "assign" and len(m[2]) >= 8) or (kind == "access" and len(m[0]) >= 16) or (kind == "hex" and len(m[0]) >= 32):
                 found.append((m.start(), rank, m.end(), kind))
     return [(kind, a, b) for a, _, b, kind in sorted(found)]
+
+
+def cut(text, items, window=10):
+    """Text without the stretches that items share, None if over half of its words are hit."""
+    places = [m.span() for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))]
+    words, hit = alnum(text), set()
+    for _, other in items:
+        theirs = alnum(other)
+        size = min(window, len(theirs))
+        runs = {tuple(theirs[k : k + size]) for k in range(len(theirs) - size + 1)} if size else set()
+        for i in range(len(words) - size + 1):
+            if size and tuple(words[i : i + size]) in runs:
+                hit.update(range(i, i + size))
+    if 2 * len(hit) > len(words):
+        return None
+    parts, at = [], 0
+    for i in sorted(hit):
+        start = places[i][0] if i - 1 not in hit else places[i - 1][1]
+        parts.append(text[at:start])
+        at = places[i][1]
+    return "".join([*parts, text[at:]])
+
+
+def masked(docs, find, owners=3, documents=20, mark="[secret]"):
+    """Texts of (id, owner, text) with the secrets masked that few owners and few documents have."""
+    have = {}
+    for i, owner, text in docs:
+        for _, _, _, value in find(text):
+            have.setdefault(value, set()).add((i, owner))
+    out = {}
+    for i, _, text in docs:
+        shown, at = "", 0
+        for start, end in sorted((a, b) for _, a, b, v in find(text) if len({o for _, o in have[v]}) < owners and len(have[v]) < documents):
+            if start >= at:
+                shown += text[at:start] + mark
+            at = max(at, end)
+        out[i] = shown + text[at:]
+    return out

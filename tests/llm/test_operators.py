@@ -477,3 +477,57 @@ def test_pipeline_on_empty_and_odd_tables(spark, tmp_path):
         kept = stage(spark, docs, str(tmp_path))
         assert kept.dtypes == docs.dtypes, name
         assert stage(spark, docs.where(F.lit(False)), str(tmp_path)).count() == 0
+
+
+def test_pipeline_matches_a_plain_run_of_all_stages(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(19)
+    texts, marks = toxic_sample(240, 20)
+    clean = [t for t, m in zip(texts, marks) if not m and len(t.split()) > 40]
+    passages = [" ".join(rng.choices(WORDS, k=55)) for _ in range(4)]
+    example, lone = "token = " + "ab12" * 10, "password: hunter2hunter2"
+    for k, text in enumerate(clean[:40]):  # near copies, most of them one word away
+        words = text.split()
+        words[-1 - k % 3] = "changed"
+        texts.append(" ".join(words))
+    texts += [f"{clean[50 + k]} {passages[k % 4].title()}! {clean[70 + k]}" for k in range(8)] + passages + clean[100:103]
+    other = [" ".join(rng.choices(WORDS, k=30)) for _ in range(6)]
+    texts += [f"{other[k]} {example} {k}" for k in range(5)] + [f"{other[5]} {lone} end", "see " + "0123456789abcdef" * 2]
+    texts += ODD + [" ".join(rng.choices(WORDS, k=20_000))]
+    items = [*enumerate(passages), (9, None), (10, "")]
+
+    brute.documents(spark, texts).repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    benchmark(spark, items).write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(i, 1, m) for i, m in enumerate(marks)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+    fitted = [(marks[i] == 1, texts[i].encode()) for i in range(240) if zlib.crc32(str(i).encode()) % 5]
+    score = toxicity.Scorer(toxicity.fit(fitted)).score
+    left = [(i, t) for i, t in enumerate(texts) if score((t or "").encode()) < 0.5]
+    assert sum(marks[i] for i, _ in left if i < 240) <= 3 and len(left) > len(texts) - sum(marks) - 3
+    first = brute.components(left, 5)
+    left = [(i, t) for i, t in left if first[i][1] == i]
+    cleaned = [(i, brute.cut(t or "", items)) for i, t in left]
+    final = brute.masked([(i, f"s{i % 3}", t) for i, t in cleaned if t is not None], credentials.find)
+    assert sum("[secret]" in t for t in final.values()) >= 2 and sum(example in t for t in final.values()) >= 3
+
+    ids = {i: e for i, e in zip(final, encoded(list(final.values())))}
+    assert {r.doc_id for r in rows} == set(ids)
+    pieces, sequences = {}, {}
+    for r in rows:
+        pieces.setdefault(r.doc_id, []).append(r)
+        sequences.setdefault(r.sequence_id, []).append(r)
+    for i, found in pieces.items():
+        at = 0
+        for r in sorted(found, key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(ids[i])
+            assert r.ids_crc32 == zlib.crc32(np.array(ids[i][at : at + r.length], "<u4").tobytes())
+            at += r.length
+        assert at == len(ids[i])
+    for found in sequences.values():
+        at = 0
+        for r in sorted(found, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 2048
