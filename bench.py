@@ -11,7 +11,7 @@ import json
 import os
 import time
 
-from ledgerline.catalog import QUERIES
+from ledgerline.catalog import QUERIES, published
 from ledgerline.session import build_session
 
 HEADLINE = (
@@ -35,7 +35,9 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["company_sentiment"](spark, folder).write.format("noop").mode("overwrite").save()
-    seconds = {}
+    start = time.perf_counter()
+    published(spark, folder)  # landed and built once; serving queries and checks read what is stored
+    seconds = {"publish": round(time.perf_counter() - start, 3)}
     for name in HEADLINE:
         runs = []
         for _ in range(int(os.environ.get("BENCH_RUNS", "1"))):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,11 +15,11 @@ from .operators import marts, quality, serving, shred
 from .operators.dedup import insider_transactions, late_filings
 from .operators.staging import clean, stage
 from .plans.ingest import ingest
-from .plans.warehouse import Marts, audit_all, build
+from .plans.warehouse import Marts, audit_all, build, open_marts, open_transactions
 from .sinks import tables
 from .sources import documents, index, landing
-from .sources.scratch import fresh_path, written
-from .sources.trade_tables import filing_documents, index_lines, raw_transactions, table
+from .sources.scratch import fresh_path
+from .sources.trade_tables import filing_documents, index_lines, mirrored_documents, raw_transactions, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,7 @@ QUARTERS_AS_OF = dt.date(2001, 5, 15)
 SELLERS_AS_OF = dt.date(2001, 6, 30)
 EXPORT_DAY = dt.date(2002, 1, 1)
 SELECTED_QUARTERS = ("1996Q1", "1999Q3")
+SELECTED_MONTHS = ("1996-03", "1997-11")
 SELECTED_TICKERS = ("N1", "N2", "N7")
 FILINGS_PER_QUARTER = 100
 
@@ -82,16 +84,46 @@ def monthly(spark: SparkSession, folder: str) -> DataFrame:
     return marts.monthly_activity(transactions(spark, folder))
 
 
-def trader_feed(spark: SparkSession, folder: str) -> DataFrame:
-    return serving.leading_traders(marts.trader_totals(transactions(spark, folder)))
-
-
 def sentiment(spark: SparkSession, folder: str) -> DataFrame:
     return marts.company_sentiment(transactions(spark, folder))
 
 
+_published: dict[tuple[str, str], tuple[str, Marts, DataFrame]] = {}
+
+
+def published(spark: SparkSession, folder: str) -> Marts:
+    """The stored tables of a folder: landed and built once per application, read by every serving query."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key in _published:
+        root, like, _ = _published[key]
+        try:
+            return open_marts(spark, root, like)
+        except AnalysisException:  # somebody cleared the shared folder
+            del _published[key]
+    root = fresh_path(spark, "published")
+    tables.write_raw(raw(spark, folder), f"{root}/raw")
+    landed = landing.read_raw(spark, f"{root}/raw")
+    stored = build(landed, root)
+    _published[key] = (root, stored, insider_transactions(clean(landed)))
+    return stored
+
+
+def _root(spark: SparkSession, folder: str) -> str:
+    published(spark, folder)
+    return _published[spark.sparkContext.applicationId, folder][0]
+
+
+def published_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    root = _root(spark, folder)
+    return open_transactions(spark, root, _published[spark.sparkContext.applicationId, folder][2])
+
+
+def trader_feed(spark: SparkSession, folder: str) -> DataFrame:
+    return serving.trader_feed(published(spark, folder).traders)
+
+
 def sentiment_feed(spark: SparkSession, folder: str) -> DataFrame:
-    return serving.sentiment_feed(sentiment(spark, folder))
+    return serving.sentiment_feed(published(spark, folder).sentiment)
 
 
 def landed_raw(spark: SparkSession, folder: str) -> str:
@@ -184,15 +216,38 @@ def missing_documents(spark, folder):
     return documents.without_documents(listings(spark, folder), filing_documents(spark, folder))
 
 
-@query
-def quarantine(spark, folder):
+def _doubtful_documents(spark, folder):
+    """Documents of which some are blank and some unreadable."""
     pending = F.col("o_orderstatus") == "P"
     body = (
         F.when(pending & (F.col("o_orderpriority") == "2-HIGH"), F.lit(" \n\t "))
         .when(pending & (F.col("o_orderpriority") == "5-LOW"), F.lit(None))
         .otherwise(F.col("xml"))
     )
-    return documents.rejected_documents(filing_documents(spark, folder).withColumn("xml", body))
+    return filing_documents(spark, folder).withColumn("xml", body)
+
+
+@query
+def quarantine(spark, folder):
+    return documents.rejected_documents(_doubtful_documents(spark, folder))
+
+
+@query
+def ingest_report(spark, folder):
+    return documents.arrivals(listings(spark, folder), _doubtful_documents(spark, folder))
+
+
+def packed_documents(spark: SparkSession, folder: str) -> str:
+    root = fresh_path(spark, "documents")
+    tables.write_documents(mirrored_documents(spark, folder), root)
+    return root
+
+
+@query
+def documents_read(spark, folder):
+    """Packed documents of chosen quarters, copies included."""
+    rows = documents.read_packed_documents(spark, packed_documents(spark, folder), SELECTED_QUARTERS)
+    return rows.select("accession_number", "path", "quarter", F.size(markup.blocks("xml", "nonDerivativeTransaction")).alias("transactions"))
 
 
 @query
@@ -241,6 +296,15 @@ def ingest_landing(spark, folder):
     return per_quarter(landing.read_raw(spark, root))
 
 
+@query
+def ingest_restricted(spark, folder):
+    """Chosen quarters of an archive with two copies of every document."""
+    root = fresh_path(spark, "landing")
+    packed = documents.read_packed_documents(spark, packed_documents(spark, folder))
+    ingest(landed_index(spark, folder), packed, root, RUN_TS, quarters=SELECTED_QUARTERS)
+    return per_quarter(landing.read_raw(spark, root))
+
+
 # ── column functions ─────────────────────────────────────────────────────
 
 _TEXT_COLUMNS = ("issuer_name", "issuer_ticker", "transaction_code", "direct_or_indirect", "security_title")
@@ -470,7 +534,7 @@ def sentiment_label(spark, folder):
 
 @query
 def monthly_ordered(spark, folder):
-    return serving.monthly_feed(monthly(spark, folder))
+    return serving.monthly_feed(published(spark, folder).monthly)
 
 
 @query
@@ -485,42 +549,48 @@ def sentiment_top100(spark, folder):
 
 @query
 def company_list(spark, folder):
-    return serving.company_list(monthly(spark, folder))
+    return serving.company_list(published(spark, folder).monthly)
 
 
 @query
 def activity_filtered(spark, folder):
-    return serving.filter_activity(monthly(spark, folder), SELECTED_TICKERS, "Sell")
+    return serving.filter_activity(published(spark, folder).monthly, SELECTED_TICKERS, "Sell")
+
+
+@query
+def activity_months(spark, folder):
+    """Chosen months of the stored table; the others are not opened."""
+    return serving.filter_activity(published(spark, folder).monthly, months=SELECTED_MONTHS)
 
 
 @query
 def kpi_summary(spark, folder):
-    return serving.kpi_summary(monthly(spark, folder))
+    return serving.kpi_summary(published(spark, folder).monthly)
 
 
 @query
 def monthly_volume(spark, folder):
-    return serving.monthly_volume(monthly(spark, folder))
+    return serving.monthly_volume(published(spark, folder).monthly)
 
 
 @query
 def buy_sell_split(spark, folder):
-    return serving.buy_sell_split(monthly(spark, folder))
+    return serving.buy_sell_split(published(spark, folder).monthly)
 
 
 @query
 def net_by_month(spark, folder):
-    return serving.net_by_month(monthly(spark, folder))
+    return serving.net_by_month(published(spark, folder).monthly)
 
 
 @query
 def net_by_month_once(spark, folder):
-    return serving.net_by_month(monthly(spark, folder), distinct=True)
+    return serving.net_by_month(published(spark, folder).monthly, distinct=True)
 
 
 @query
 def top_companies(spark, folder):
-    return serving.top_companies(monthly(spark, folder))
+    return serving.top_companies(published(spark, folder).monthly)
 
 
 @query
@@ -535,12 +605,12 @@ def top10_sellers(spark, folder):
 
 @query
 def role_distribution(spark, folder):
-    return serving.role_distribution(marts.trader_totals(transactions(spark, folder)))
+    return serving.role_distribution(published(spark, folder).traders)
 
 
 @query
 def role_rollup(spark, folder):
-    return serving.role_rollup(marts.trader_totals(transactions(spark, folder)))
+    return serving.role_rollup(published(spark, folder).traders)
 
 
 @query
@@ -550,37 +620,37 @@ def leaderboard(spark, folder):
 
 @query
 def top10_bullish(spark, folder):
-    return serving.most_bullish(sentiment(spark, folder))
+    return serving.most_bullish(published(spark, folder).sentiment)
 
 
 @query
 def top10_bearish(spark, folder):
-    return serving.most_bearish(sentiment(spark, folder))
+    return serving.most_bearish(published(spark, folder).sentiment)
 
 
 @query
 def label_counts(spark, folder):
-    return serving.label_counts(sentiment(spark, folder))
+    return serving.label_counts(published(spark, folder).sentiment)
 
 
 @query
 def sell_buy_ratio(spark, folder):
-    return serving.sell_buy_ratio(sentiment(spark, folder))
+    return serving.sell_buy_ratio(published(spark, folder).sentiment)
 
 
 @query
 def top_sellers_90d(spark, folder):
-    return serving.top_sellers(transactions(spark, folder), SELLERS_AS_OF)
+    return serving.top_sellers(published_transactions(spark, folder), SELLERS_AS_OF)
 
 
 # ── data quality ─────────────────────────────────────────────────────────
 
 
-def _audit(spark, folder, kind: str) -> DataFrame:
-    staged_rows = staged(spark, folder)
-    rows, _ = written(transactions(spark, folder), "transactions")
-    published = Marts(marts.monthly_activity(rows), marts.top_traders(rows), marts.company_sentiment(rows))
-    return audit_all(raw(spark, folder), staged_rows, rows, published).where(F.col("check") == kind)
+def _audit(spark, folder, *kinds: str, as_of: dt.date | None = None) -> DataFrame:
+    """Checks of the landed and published tables."""
+    stored = published(spark, folder)
+    landed = landing.read_raw(spark, f"{_root(spark, folder)}/raw")
+    return audit_all(landed, stage(landed), published_transactions(spark, folder), stored, kinds or None, as_of)
 
 
 @query
@@ -593,6 +663,20 @@ def dq_accepted_values(spark, folder):
     return _audit(spark, folder, "accepted_values")
 
 
+@query
+def audit_report(spark, folder):
+    """All checks, freshness included."""
+    return _audit(spark, folder, as_of=FRESH_AS_OF)
+
+
+@query
+def rejected_numbers(spark, folder):
+    """Share counts made absurd, told apart by their last digit."""
+    shares = F.col("transaction_shares")
+    absurd = F.when(shares % 10 == 7, shares * 1e30).when(shares % 10 == 9, F.lit(float("inf"))).otherwise(shares)
+    return quality.rejected_numbers(raw(spark, folder).withColumn("transaction_shares", absurd))
+
+
 @query
 def dq_unique(spark, folder):
     return quality.unique(sentiment(spark, folder), "company_sentiment", "issuer_ticker")
@@ -652,11 +736,25 @@ def write_marts(spark, folder):
     return summaries[0].unionByName(summaries[1]).unionByName(summaries[2])
 
 
+def _exported(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
+    """``frame`` written as CSV and read back."""
+    path = tables.write_csv(frame, fresh_path(spark, "export"), name, EXPORT_DAY)
+    return spark.read.schema(frame.schema).option("header", True).csv(path)
+
+
 @query
 def csv_export(spark, folder):
-    frame = monthly(spark, folder).drop("last_ingested_at")
-    path = tables.write_csv(frame, fresh_path(spark, "export"), "monthly_insider_activity", EXPORT_DAY)
-    return spark.read.schema(frame.schema).option("header", True).csv(path)
+    return _exported(spark, published(spark, folder).monthly.drop("last_ingested_at"), "monthly_insider_activity")
+
+
+@query
+def csv_export_traders(spark, folder):
+    return _exported(spark, trader_feed(spark, folder), "top_insider_traders")
+
+
+@query
+def csv_export_sentiment(spark, folder):
+    return _exported(spark, published(spark, folder).sentiment, "company_sentiment")
 
 
 @query

@@ -70,6 +70,9 @@ CHECKS = {
 # Columns expected to be unique.
 UNIQUE = {"company_sentiment": ("issuer_ticker",)}
 
+# Columns that tell how fresh a table is.
+FRESH = {"raw": "ingested_at"}
+
 # Days since the last load.
 WARN_AFTER_DAYS = 45
 ERROR_AFTER_DAYS = 90
@@ -135,6 +138,28 @@ def freshness(frame: DataFrame, model: str, as_of: dt.date, column: str = "inges
     )
 
 
+def stale(frame: DataFrame, model: str, as_of: dt.date, column: str = "ingested_at") -> DataFrame:
+    """``freshness`` as a row like those of the other checks."""
+    status = F.col("status")
+    severity = F.when(status == WARN, F.lit(WARN)).otherwise(F.lit(ERROR))
+    failures = (status != "pass").cast("bigint")
+    return freshness(frame, model, as_of, column).select(
+        "model", "column", "check", severity.alias("severity"), failures.alias("failures"), "status"
+    )
+
+
+def rejected_numbers(raw: DataFrame) -> DataFrame:
+    """Raw rows whose share count staging cannot hold and leaves NULL, with the reason."""
+    shares = F.col("transaction_shares")
+    reason = (
+        F.when(F.isnan(shares), F.lit("not a number"))
+        .when(F.abs(shares) == float("inf"), F.lit("infinite"))
+        .when(shares.try_cast("decimal(38,9)").isNull(), F.lit("too large"))
+    )
+    found = raw.where(shares.isNotNull()).withColumn("reason", reason).where(F.col("reason").isNotNull())
+    return found.select("accession_number", "cik", "transaction_date", "quarter", "reason")
+
+
 class QualityError(Exception):
     """Raised by ``require`` with the failing checks."""
 

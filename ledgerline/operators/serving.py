@@ -74,8 +74,12 @@ def company_list(monthly: DataFrame) -> DataFrame:
 # ── monthly figures ──────────────────────────────────────────────────────
 
 
-def filter_activity(monthly: DataFrame, tickers: Sequence[str] = (), flag: str = "All") -> DataFrame:
-    """Chosen companies (none chosen means all) and one flag or All."""
+def filter_activity(
+    monthly: DataFrame, tickers: Sequence[str] = (), flag: str = "All", months: Sequence[str] = ()
+) -> DataFrame:
+    """Chosen companies and months (none chosen means all) and one flag or All."""
+    if months:
+        monthly = monthly.where(F.col("transaction_month_key").isin(*months))
     if tickers:
         monthly = monthly.where(F.col("issuer_ticker").isin(*tickers))
     return monthly if flag == "All" else monthly.where(F.col("buy_sell_flag") == flag)

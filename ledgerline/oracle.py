@@ -360,6 +360,15 @@ _ACCEPTED = [
     ),
 ]
 
+_UNIQUE = """SELECT 'company_sentiment' AS model, 'issuer_ticker' AS "column", 'unique' AS "check", 'warn' AS severity,
+                  count(*) AS failures, CASE WHEN count(*) = 0 THEN 'pass' ELSE 'warn' END AS status
+           FROM (SELECT issuer_ticker FROM sentiment WHERE issuer_ticker IS NOT NULL
+                 GROUP BY issuer_ticker HAVING count(*) > 1)"""
+_STALE = """SELECT 'raw' AS model, 'ingested_at' AS "column", 'freshness' AS "check",
+                   CASE WHEN age > 45 AND age <= 90 THEN 'warn' ELSE 'error' END AS severity,
+                   CASE WHEN age > 45 THEN 1 ELSE 0 END AS failures,
+                   CASE WHEN age <= 45 THEN 'pass' WHEN age <= 90 THEN 'warn' ELSE 'error' END AS status
+            FROM (SELECT date_diff('day', CAST(max(ingested_at) AS DATE), DATE '2001-10-01') AS age FROM raw)"""
 _VOLUME = f"coalesce({_money('total_value_usd')}, 0) AS total_value_usd"
 _NET = f"coalesce({_money('net_sentiment_usd')}, 0) AS net_sentiment_usd"
 _COUNTED = "CAST(sum(num_transactions) AS BIGINT) AS num_transactions"
@@ -418,6 +427,21 @@ ORACLE = {
         FROM orders
         WHERE o_orderstatus = 'P' AND o_orderpriority IN ('2-HIGH', '5-LOW')
           AND o_orderkey IN (SELECT l_orderkey FROM lineitem) AND o_custkey IN (SELECT c_custkey FROM customer)""",
+    "ingest_report": _sql(
+        """SELECT quarter, CASE WHEN o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) THEN 'missing'
+                                WHEN o_orderstatus = 'P' AND o_orderpriority = '2-HIGH' THEN 'blank'
+                                WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'unreadable'
+                                ELSE 'landed' END AS outcome, count(*) AS filings
+           FROM listed GROUP BY ALL""",
+        "listed",
+    ),
+    "documents_read": _sql(
+        """SELECT accession_number, 'edgar/data/' || listing || '/' || accession_number || '.txt' AS path, quarter,
+                  count(*) AS transactions
+           FROM listed JOIN lineitem ON l_orderkey = o_orderkey WHERE quarter IN ('1996Q1', '1999Q3') GROUP BY ALL""",
+        "listed",
+    ),
+    "ingest_restricted": _per_quarter("(SELECT * FROM raw WHERE quarter IN ('1996Q1', '1999Q3'))"),
     "max_filings": _out(
         _INDEX_COLUMNS,
         """(SELECT *, row_number() OVER (PARTITION BY quarter
@@ -527,6 +551,9 @@ ORACLE = {
         "(SELECT * FROM monthly WHERE issuer_ticker IN ('N1', 'N2', 'N7') AND buy_sell_flag = 'Sell')",
         "monthly",
     ),
+    "activity_months": _out(
+        _MONTHLY_COLUMNS, "monthly WHERE transaction_month_key IN ('1996-03', '1997-11')", "monthly"
+    ),
     "kpi_summary": _sql(
         f"""SELECT *, total_buy_value - total_sell_value AS net_sentiment,
                    CASE WHEN total_buy_value - total_sell_value > 0 THEN 'Bullish' ELSE 'Bearish' END AS signal
@@ -590,12 +617,10 @@ ORACLE = {
     # data quality
     "dq_not_null": _sql(_checks(_NOT_NULL, "not_null"), "raw", "staged", "tx", "monthly", "traders", "sentiment"),
     "dq_accepted_values": _sql(_checks(_ACCEPTED, "accepted_values"), "raw", "staged", "monthly", "sentiment"),
-    "dq_unique": _sql(
-        """SELECT 'company_sentiment' AS model, 'issuer_ticker' AS "column", 'unique' AS "check", 'warn' AS severity,
-                  count(*) AS failures, CASE WHEN count(*) = 0 THEN 'pass' ELSE 'warn' END AS status
-           FROM (SELECT issuer_ticker FROM sentiment WHERE issuer_ticker IS NOT NULL
-                 GROUP BY issuer_ticker HAVING count(*) > 1)""",
-        "sentiment",
+    "dq_unique": _sql(_UNIQUE, "sentiment"),
+    "audit_report": _sql(
+        " UNION ALL ".join((_checks(_NOT_NULL, "not_null"), _checks(_ACCEPTED, "accepted_values"), _UNIQUE, _STALE)),
+        "raw", "staged", "tx", "monthly", "traders", "sentiment",
     ),
     "dq_freshness": _sql(
         """SELECT 'raw' AS model, 'ingested_at' AS "column", 'freshness' AS "check", age_days,
@@ -603,6 +628,12 @@ ORACLE = {
            FROM (SELECT date_diff('day', CAST(max(ingested_at) AS DATE), DATE '2001-10-01') AS age_days FROM raw)""",
         "raw",
     ),
+    "rejected_numbers": _out(
+        "accession_number, cik, transaction_date, quarter, reason",
+        """(SELECT *, CASE transaction_shares % 10 WHEN 9 THEN 'infinite' ELSE 'too large' END AS reason
+            FROM raw WHERE transaction_shares % 10 IN (7, 9))""",
+        "raw",
+    ),
     # sinks
     "write_raw_roundtrip": _per_quarter(),
     "append_then_overwrite": _per_quarter("raw", "CASE WHEN quarter >= '1998Q1' THEN 2 ELSE 1 END"),
@@ -615,5 +646,7 @@ ORACLE = {
         "monthly", "traders", "sentiment",
     ),
     "csv_export": _out(_MONTHLY_FEED_COLUMNS, "monthly", "monthly"),
+    "csv_export_traders": _out(_TRADER_FEED_COLUMNS, "trader_feed", "trader_feed"),
+    "csv_export_sentiment": _out(_SENTIMENT_COLUMNS, "sentiment", "sentiment"),
     "verify_output": _sql("SELECT DISTINCT quarter, true AS has_files FROM raw", "raw"),
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -9,10 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.dedup import insider_transactions
 from ..operators.marts import MONTHLY_KEYS, company_sentiment, monthly_activity, top_traders
-from ..operators.quality import CHECKS, UNIQUE, audit, unique
+from ..operators.quality import CHECKS, FRESH, UNIQUE, audit, stale, unique
 from ..operators.staging import clean
 from ..sinks.tables import read_table, write_monthly, write_table
-from ..sources.scratch import written
 
 
 @dataclass(frozen=True)
@@ -35,10 +36,12 @@ class Marts:
 def build(raw: DataFrame, root: str) -> Marts:
     """Write all three tables under ``root`` and return them as stored.
 
-    The deduplicated transactions feed every table, so they are written once
-    instead of being derived three times.
+    The deduplicated transactions feed every table, so they are written once,
+    under ``root`` too, instead of being derived three times.
     """
-    transactions, _ = written(insider_transactions(clean(raw)), "transactions")
+    rows = insider_transactions(clean(raw))
+    write_table(rows, f"{root}/transactions")
+    transactions = open_transactions(raw.sparkSession, root, like=rows)
     monthly = monthly_activity(transactions)
     write_monthly(monthly, f"{root}/monthly_activity")
     traders = top_traders(transactions)
@@ -48,6 +51,11 @@ def build(raw: DataFrame, root: str) -> Marts:
     return open_marts(raw.sparkSession, root, like=Marts(monthly, traders, sentiment))
 
 
+def open_transactions(spark: SparkSession, root: str, like: DataFrame | None = None) -> DataFrame:
+    """The deduplicated transactions that ``build`` stored."""
+    return read_table(spark, f"{root}/transactions", like)
+
+
 def open_marts(spark: SparkSession, root: str, like: Marts | None = None) -> Marts:
     """The stored tables; partition columns come last in files and go back to their place."""
     monthly = read_table(spark, f"{root}/monthly_activity", like and like.monthly)
@@ -58,8 +66,19 @@ def open_marts(spark: SparkSession, root: str, like: Marts | None = None) -> Mar
     )
 
 
-def audit_all(raw: DataFrame, staged: DataFrame, transactions: DataFrame, marts: Marts) -> DataFrame:
-    """Every declared check, one pass per table."""
+def audit_all(
+    raw: DataFrame,
+    staged: DataFrame,
+    transactions: DataFrame,
+    marts: Marts,
+    kinds: Collection[str] | None = None,
+    as_of: dt.date | None = None,
+) -> DataFrame:
+    """Every declared check, or those of the named kinds, one pass per table.
+
+    Checks are chosen before anything is planned, so tables without a chosen
+    check are not read. Freshness is judged if ``as_of`` is given.
+    """
     tables = {
         "raw": raw,
         "staging": staged,
@@ -68,8 +87,16 @@ def audit_all(raw: DataFrame, staged: DataFrame, transactions: DataFrame, marts:
         "top_traders": marts.traders,
         "company_sentiment": marts.sentiment,
     }
-    results = [audit(tables[model], model, checks) for model, checks in CHECKS.items()]
-    results += [unique(tables[model], model, column) for model, columns in UNIQUE.items() for column in columns]
+
+    def wanted(kind: str) -> bool:
+        return kinds is None or kind in kinds
+
+    chosen = {model: tuple(check for check in checks if wanted(check.kind)) for model, checks in CHECKS.items()}
+    results = [audit(tables[model], model, checks) for model, checks in chosen.items() if checks]
+    if wanted("unique"):
+        results += [unique(tables[model], model, column) for model, columns in UNIQUE.items() for column in columns]
+    if as_of is not None and wanted("freshness"):
+        results += [stale(tables[model], model, as_of, column) for model, column in FRESH.items()]
     report = results[0]
     for result in results[1:]:
         report = report.unionByName(result)

@@ -40,6 +40,16 @@ def write_raw(raw: DataFrame, root: str, mode: str = "overwrite") -> int:
     return _observed_rows(seen)
 
 
+def write_documents(documents: DataFrame, root: str) -> None:
+    """Document texts as Parquet by quarter, so that a restricted run opens only its quarters.
+
+    Takes accession_number, xml, quarter and, if there is one, path.
+    """
+    path = F.col("path") if "path" in documents.columns else F.lit(None).cast("string").alias("path")
+    packed = documents.select("accession_number", "xml", path, "quarter").hint("rebalance", F.col("quarter"))
+    packed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("quarter").parquet(root)
+
+
 def write_monthly(monthly: DataFrame, root: str) -> None:
     """Monthly table, partitioned by month and clustered by company and flag."""
     clustered = monthly.hint("rebalance", F.col("transaction_month_key")).sortWithinPartitions(

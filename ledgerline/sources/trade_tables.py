@@ -157,4 +157,11 @@ def filing_documents(spark: SparkSession, folder: str) -> DataFrame:
                    '</nonDerivativeTable>\n</ownershipDocument>\n') as xml""",
         "o_orderstatus",
         "o_orderpriority",
+        f"{QUARTER} as quarter",
     )
+
+
+def mirrored_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The same documents as an archive keeps them: a copy, with its path, under each listing."""
+    path = F.concat(F.lit("edgar/data/"), F.col("listing"), F.lit("/"), F.col("accession_number"), F.lit(".txt"))
+    return _listed(filing_documents(spark, folder)).withColumn("path", path)

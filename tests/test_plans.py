@@ -8,7 +8,9 @@ from ledgerline.operators.dedup import insider_transactions
 from ledgerline.operators.shred import shred_filings
 from ledgerline.operators.staging import clean, stage
 from ledgerline.sinks import tables
-from ledgerline.sources import index, landing
+from ledgerline.plans.ingest import ingest
+from ledgerline.plans.warehouse import build, open_marts
+from ledgerline.sources import documents, index, landing
 
 
 def landed(spark, tmp_path):
@@ -75,3 +77,37 @@ def test_first_filings_sort_no_whole_quarter(spark, tmp_path):
     for n in (10, 1001):
         plan = plan_of(index.first_filings(index.parse_index(lines), n))
         assert "row_number() windowspecdefinition(quarter" in plan and "_part" in plan.split("row_number() windowspecdefinition(quarter")[1][:40]
+
+
+def packed(spark, tmp_path):
+    root = str(tmp_path / "packed")
+    rows = [(f"a{i}", f"<x>{i}</x>", f"edgar/{copy}/a{i}.txt", f"2024Q{i}") for i in (1, 2) for copy in (1, 2)]
+    tables.write_documents(spark.createDataFrame(rows, documents.PACKED), root)
+    return root
+
+
+def test_packed_documents_are_pruned_by_quarter(spark, tmp_path):
+    root = packed(spark, tmp_path)
+    some = documents.read_packed_documents(spark, root, ["2024Q1"])
+    assert "PartitionFilters: [isnotnull(quarter" in plan_of(some) and "PushedFilters: []" in plan_of(some)
+    assert {file.split("quarter=")[1][:6] for file in some.inputFiles()} >= {"2024Q1"} and some.count() == 2
+
+
+def test_restricted_ingest_never_opens_other_quarters(spark, tmp_path):
+    root = packed(spark, tmp_path)
+    for file in (tmp_path / "packed" / "quarter=2024Q2").glob("*.parquet"):
+        file.write_bytes(b"not a table")
+    for crc in (tmp_path / "packed" / "quarter=2024Q2").glob(".*.crc"):
+        crc.write_bytes(b"")
+    line = f"{'Co':62}{'4':12}{'7':12}{'2024-01-02':12}edgar/1/a1.txt"
+    lines = spark.createDataFrame([(line, "2024Q1"), (line.replace("a1", "a2"), "2024Q2")], "value string, quarter string")
+    assert ingest(lines, documents.read_packed_documents(spark, root), str(tmp_path / "raw"), quarters=["2024Q1"]) == 1
+
+
+def test_filters_reach_the_stored_tables(spark, tmp_path):
+    root = str(tmp_path / "marts")
+    build(landed(spark, tmp_path), root)
+    stored = open_marts(spark, root)
+    plan = plan_of(serving.filter_activity(stored.monthly, ["ACM"], "Buy", ["2024-03"]))
+    assert "PartitionFilters: [isnotnull(transaction_month_key" in plan and "EqualTo(issuer_ticker,ACM)" in plan
+    assert "LessThanOrEqual(rank_by_value,50)" in plan_of(serving.trader_feed(stored.traders))

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from helpers import raw_rows
 
+from ledgerline.operators import quality
 from ledgerline.operators.quality import CHECKS, Check, QualityError, audit, freshness, require, unique
 
 
@@ -37,3 +38,18 @@ def test_freshness(spark, days, status):
 
 def test_freshness_of_nothing(spark):
     assert freshness(raw_rows(spark, {}).limit(0), "raw", dt.date(2024, 1, 1)).first().status == "error"
+
+
+def test_rejected_numbers_name_their_reason(spark):
+    shares = [1.0, None, 9e28, 1e30, float("inf"), float("-inf"), float("nan")]
+    rows = raw_rows(spark, *[{"accession_number": str(i), "transaction_shares": v} for i, v in enumerate(shares)])
+    found = {r.accession_number: r.reason for r in quality.rejected_numbers(rows).collect()}
+    assert found == {"3": "too large", "4": "infinite", "5": "infinite", "6": "not a number"}
+
+
+def test_stale_tables_are_reported_like_other_checks(spark):
+    rows = raw_rows(spark, {})
+    for days, failures, status in ((1, 0, "pass"), (60, 1, "warn"), (200, 1, "error")):
+        row = quality.stale(rows, "raw", dt.date(2024, 3, 6) + dt.timedelta(days)).first()
+        assert (row.failures, row.status) == (failures, status)
+    assert quality.stale(rows.limit(0), "raw", dt.date(2024, 3, 6)).first().status == "error"
