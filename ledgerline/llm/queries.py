@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attribution, credentials, decontaminate, fingerprint, hosts, packing, shuffle, superminhash, tokenfiles, toxicity
-from .common import table
+from . import archive, attribution, credentials, decontaminate, dialogues, fingerprint, hosts, oracles, packing, shuffle, superminhash, tokenfiles, toxicity, variants
+from .common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +92,21 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return attribution.count(table(spark, folder, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return dialogues.rebuilt_trie(table(spark, folder, "conversations"))
+
+
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    records = archive.read(archive.write(pages, archive.new_folder(pages)))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = written(variants.words(table(spark, folder, "documents")), "vocabulary")
+    return variants.forms(vocabulary).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_near_duplicates": op2_near_duplicates,
@@ -103,6 +118,13 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
     "op10_token_counts": op10_token_counts,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_warc": op12_warc,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_conversation_trie": oracles.CONVERSATION_TRIE,
+    "op12_warc": oracles.WARC,
+    "op13_spelling_variants": oracles.SPELLING_VARIANTS,
+}
