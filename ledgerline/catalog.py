@@ -5,20 +5,23 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import schema
 from .functions import calendar, codes, markup, money, parse, text
 from .operators import marts, quality, serving, shred
 from .operators.dedup import insider_transactions, late_filings
 from .operators.staging import clean, stage
-from .plans.ingest import ingest
+from .plans import incremental
+from .plans.cache import ResultCache, version_of
+from .plans.ingest import ingest, ingest_tree
+from .plans.publication import open_served, publish
 from .plans.warehouse import Marts, audit_all, build, open_marts, open_transactions
 from .sinks import tables
-from .sources import documents, index, landing
-from .sources.scratch import fresh_path
+from .sources import documents, index, landing, tree
+from .sources.scratch import exists, fresh_path
 from .sources.trade_tables import filing_documents, index_lines, mirrored_documents, raw_transactions, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,23 +91,27 @@ def sentiment(spark: SparkSession, folder: str) -> DataFrame:
     return marts.company_sentiment(transactions(spark, folder))
 
 
+# Tables that filings are derived from.
+_SOURCES = ("lineitem", "orders", "customer", "nation")
+
 _published: dict[tuple[str, str], tuple[str, Marts, DataFrame]] = {}
+_versions: dict[tuple[str, str], str] = {}
 
 
 def published(spark: SparkSession, folder: str) -> Marts:
-    """The stored tables of a folder: landed and built once per application, read by every serving query."""
+    """The stored tables of a folder, read by every serving query: landed and built once per application and state of its files."""
     key = (spark.sparkContext.applicationId, folder)
-    if key in _published:
+    version = version_of(spark, [f"{folder}/{name}.parquet" for name in _SOURCES])
+    if key in _published and _versions[key] == version:
         root, like, _ = _published[key]
-        try:
+        if exists(spark, root):  # else somebody cleared the shared folder
             return open_marts(spark, root, like)
-        except AnalysisException:  # somebody cleared the shared folder
-            del _published[key]
     root = fresh_path(spark, "published")
     tables.write_raw(raw(spark, folder), f"{root}/raw")
     landed = landing.read_raw(spark, f"{root}/raw")
     stored = build(landed, root)
     _published[key] = (root, stored, insider_transactions(clean(landed)))
+    _versions[key] = version
     return stored
 
 
@@ -250,6 +257,50 @@ def documents_read(spark, folder):
     return rows.select("accession_number", "path", "quarter", F.size(markup.blocks("xml", "nonDerivativeTransaction")).alias("transactions"))
 
 
+def _tree_path(accession):
+    """Where an index says a document is: its owner's folder, by the last part of the accession number."""
+    owner = F.substring_index(accession, "-", -1).cast("bigint").cast("string")
+    return F.concat(F.lit("edgar/data/"), owner, F.lit("/"), accession, F.lit(".txt"))
+
+
+def document_tree(spark: SparkSession, folder: str) -> str:
+    """Document files as an archive keeps them, a folder per owner."""
+    root = fresh_path(spark, "tree")
+    tree.write_tree(filing_documents(spark, folder).withColumn("path", _tree_path(F.col("accession_number"))), root)
+    return root
+
+
+@query
+def documents_tree(spark, folder):
+    """Listed documents read from their files."""
+    rows = tree.read_listed(spark, document_tree(spark, folder), listings(spark, folder))
+    return rows.select("accession_number", F.size(markup.blocks("xml", "nonDerivativeTransaction")).alias("transactions"), "problem")
+
+
+@query
+def ingest_files(spark, folder):
+    """Index files and document files to landed quarters."""
+    root = fresh_path(spark, "landing")
+    ingest_tree(landed_index(spark, folder), document_tree(spark, folder), root, RUN_TS)
+    return per_quarter(landing.read_raw(spark, root))
+
+
+@query
+def ingest_counts(spark, folder):
+    """What became of every listing, counted by the run that landed them."""
+    done = ingest(landed_index(spark, folder), _doubtful_documents(spark, folder), fresh_path(spark, "landing"), RUN_TS)
+    return spark.createDataFrame([(name, getattr(done, name)) for name in shred.OUTCOMES], "outcome string, filings bigint")
+
+
+@query
+def ingest_pathless(spark, folder):
+    """Packed documents that never had a path."""
+    packed, root = fresh_path(spark, "documents"), fresh_path(spark, "landing")
+    tables.write_documents(filing_documents(spark, folder), packed)
+    ingest(landed_index(spark, folder), documents.read_packed_documents(spark, packed), root, RUN_TS)
+    return per_quarter(landing.read_raw(spark, root))
+
+
 @query
 def max_filings(spark, folder):
     return index.first_filings(listings(spark, folder), FILINGS_PER_QUARTER)
@@ -719,10 +770,7 @@ def write_monthly_mart(spark, folder):
     return tables.read_table(spark, root, like=frame)
 
 
-@query
-def write_marts(spark, folder):
-    """All three tables built and stored, summarised."""
-    stored = build(raw(spark, folder), fresh_path(spark, "marts"))
+def _summary(stored: Marts) -> DataFrame:
     summaries = [
         frame.agg(F.count(F.lit(1)).alias("rows"), money.exact_sum(value).alias("total")).select(
             F.lit(name).alias("table"), "rows", "total"
@@ -736,6 +784,72 @@ def write_marts(spark, folder):
     return summaries[0].unionByName(summaries[1]).unionByName(summaries[2])
 
 
+@query
+def write_marts(spark, folder):
+    """All three tables built and stored, summarised."""
+    return _summary(build(raw(spark, folder), fresh_path(spark, "marts")))
+
+
+@query
+def publish_gate(spark, folder):
+    """What is served after rows with accepted codes were published and the same rows as filed were refused."""
+    root, filed = fresh_path(spark, "publication"), raw(spark, folder)
+    known = F.when(codes.ownership_type("direct_or_indirect").isin(*schema.OWNERSHIP_TYPES.values()), F.col("direct_or_indirect"))
+    publish(filed.withColumns({"transaction_code": text.strip_upper("transaction_code"), "direct_or_indirect": known}), root)
+    refused = ""
+    try:
+        publish(filed, root)
+    except quality.QualityError as error:
+        refused = str(error)
+    return _summary(open_served(spark, root)).withColumn("refused", F.lit(refused))
+
+
+_refreshed: dict[tuple[str, str, str], str] = {}
+
+
+def _overwritten(spark: SparkSession, folder: str) -> Marts:
+    """Marts of a landing zone of which chosen quarters were landed again, with twice the shares and without small orders."""
+    key = (spark.sparkContext.applicationId, folder, version_of(spark, [f"{folder}/{name}.parquet" for name in _SOURCES]))
+    if key in _refreshed and exists(spark, _refreshed[key]):
+        return open_served(spark, _refreshed[key])
+    landed, root = landed_raw(spark, folder), fresh_path(spark, "marts")
+    kinds = ("not_null", "unique")
+    _refreshed[key] = root
+    incremental.start(spark, landed, root, kinds)
+    again = raw(spark, folder).where(F.col("quarter").isin(*SELECTED_QUARTERS) & (F.col("transaction_shares") >= 5))
+    tables.write_raw(again.withColumn("transaction_shares", F.col("transaction_shares") * 2), landed)
+    return incremental.refresh(spark, landed, root, SELECTED_QUARTERS, kinds)
+
+
+@query
+def marts_after_overwrite(spark, folder):
+    return _overwritten(spark, folder).monthly
+
+
+@query
+def traders_after_overwrite(spark, folder):
+    return _overwritten(spark, folder).traders.drop("last_ingested_at")
+
+
+@query
+def companies_after_overwrite(spark, folder):
+    return _overwritten(spark, folder).sentiment
+
+
+_caches: dict[str, ResultCache] = {}
+
+
+def result_cache(spark: SparkSession) -> ResultCache:
+    return _caches.setdefault(spark.sparkContext.applicationId, ResultCache(spark))
+
+
+@query
+def cached_feed(spark, folder):
+    """The sentiment feed, made once an hour at most unless its tables change."""
+    sources = [f"{folder}/{name}.parquet" for name in _SOURCES]
+    return result_cache(spark).get(f"sentiment-{folder}".replace("/", "-"), sources, lambda: serving.sentiment_feed(sentiment(spark, folder)))
+
+
 def _exported(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
     """``frame`` written as CSV and read back."""
     path = tables.write_csv(frame, fresh_path(spark, "export"), name, EXPORT_DAY)
@@ -759,5 +873,6 @@ def csv_export_sentiment(spark, folder):
 
 @query
 def verify_output(spark, folder):
-    files = tables.output_files(spark, landed_raw(spark, folder), by="quarter")
-    return files.select("quarter", ((F.col("files") > 0) & (F.col("megabytes") > 0)).alias("has_files"))
+    found = tables.verify(spark, landed_raw(spark, folder))
+    whole = F.col("missing") + F.col("changed") + F.col("extra") == 0
+    return found.select("quarter", ((F.col("files") > 0) & (F.col("bytes") > 0)).alias("has_files"), whole.alias("as_written"))

@@ -17,9 +17,6 @@ CENTS = 100
 # Unit prices: more digits than filings carry, few enough to stay exact.
 PRICE_UNITS = 100_000_000
 
-# Largest count of units a double holds exactly.
-_EXACT = float(2**53)
-
 
 def transaction_value(shares: Column | str, price: Column | str) -> Column:
     """Dollars to the cent; NULL if either side is."""
@@ -27,18 +24,26 @@ def transaction_value(shares: Column | str, price: Column | str) -> Column:
 
 
 def exact_sum(value: Column | str, units: int = CENTS, window: WindowSpec | None = None) -> Column:
-    """Order-independent sum; values too large for exact units are added as doubles."""
+    """Order-independent sum of whole units, up to 38 digits of them.
+
+    Only if a value or the sum has more (``quality.inexact`` counts such
+    values), or is not finite, are the values added as doubles.
+    """
 
-    def total(part: Column) -> Column:
-        summed = F.sum(part)
+    def over(summed: Column) -> Column:
         return summed.over(window) if window is not None else summed
 
     value = _column(value)
-    scaled = F.rint(value * float(units))
-    fits = F.abs(scaled) <= _EXACT
-    exact = total(F.when(fits, scaled.cast("bigint").cast("decimal(18,0)"))).cast("double") / float(units)
-    rest = total(F.when(~fits, value))
-    return F.when(rest.isNull(), exact).otherwise(rest + F.coalesce(exact, F.lit(0.0)))
+    counted = whole_units(value, units)
+    exact = over(F.try_sum(counted))
+    complete = over(F.count(counted)) == over(F.count(value))
+    held = complete & (exact.isNotNull() | (over(F.count(value)) == 0))
+    return F.when(held, exact.cast("double") / float(units)).otherwise(over(F.sum(value)))
+
+
+def whole_units(value: Column | str, units: int = CENTS) -> Column:
+    """Units as an exact decimal; NULL if there are more than 38 digits of them."""
+    return F.rint(_column(value) * float(units)).try_cast("decimal(38,0)")
 
 
 def exact_avg(value: Column | str, units: int = CENTS) -> Column:

@@ -46,6 +46,12 @@ def title_case(value: Column | str) -> Column:
     return F.replace(F.initcap(spaced), F.lit(_MARK), F.lit(""))
 
 
+def problem_of(xml: Column | str) -> Column:
+    """Why a document gives no transaction: unreadable or blank; NULL if it may give some."""
+    xml = _column(xml)
+    return F.when(xml.isNull(), F.lit("unreadable")).when(strip(xml) == "", F.lit("blank"))
+
+
 def decode_utf8(content: Column | str) -> Column:
     """Bytes to text; invalid sequences become U+FFFD instead of failing the job."""
     return F.make_valid_utf8(_column(content).cast("string"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions.calendar import days_to_file, month_key, quarter_key
-from .staging import title_names
+from .staging import UNHELD, title_names
 
 DEDUP_KEYS = ("accession_number", "transaction_date", "transaction_code", "transaction_shares")
 
@@ -20,6 +20,7 @@ TIE_BREAK = (
     "issuer_ticker", "issuer_name", "issuer_cik", "officer_title", "insider_role", "quarter", "ingested_at",
 )
 
+# Columns of a deduplicated transaction, before its time dimensions.
 ENRICHED = (
     "accession_number", "cik", "issuer_cik", "issuer_name", "issuer_ticker", "insider_name", "officer_title",
     "insider_role", "is_director", "is_officer", "is_ten_pct_owner", "transaction_date", "filing_date",
@@ -34,8 +35,11 @@ def deduplicate(cleaned: DataFrame, keys: Sequence[str] = DEDUP_KEYS) -> DataFra
     ``row_number() = 1`` lets Spark drop losers in every map task before the
     single shuffle, so even a group of copies holding a large share of the
     table arrives as one row per task. Pass issuer, owner, date and code as
-    ``keys`` to let an amendment replace a filing with another accession.
+    ``keys`` to let an amendment replace a filing with another accession. Share
+    counts too large for their type are told apart as filed.
     """
+    if "transaction_shares" in keys and UNHELD in cleaned.columns:
+        keys = (*keys, UNHELD)
     order = [
         F.when(F.col("form_type") == schema.AMENDED_FORM, 1).otherwise(2),
         F.col("filing_date").desc_nulls_last(),

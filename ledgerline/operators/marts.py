@@ -7,9 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.codes import sentiment_label
-from ..functions.money import PRICE_UNITS, exact_avg, exact_sum, ratio, when_flag
+from ..functions.money import PRICE_UNITS, exact_sum, ratio, when_flag
 from ..schema import TRADED_FLAGS
 from .ranking import with_ranks
+from .staging import SHARES
 
 MONTHLY_KEYS = (
     "transaction_month_key", "transaction_year", "transaction_month", "issuer_ticker", "issuer_name", "buy_sell_flag",
@@ -31,16 +32,12 @@ def net_over(window) -> Column:
     return buys - exact_sum(when_flag("Sell", "total_value_usd"), window=window)
 
 
-def monthly_totals(transactions: DataFrame) -> DataFrame:
-    """Month x company x flag.
-
-    Aggregated per filing and insider first: the two distinct counts, which
-    copy every row they see, then see few.
-    """
-    per_filing = (
+def filing_months(transactions: DataFrame, *also: str) -> DataFrame:
+    """State of the monthly table: month x company x flag x filing x insider, and ``also``."""
+    return (
         _traded(transactions)
         .where(F.col("issuer_ticker").isNotNull())
-        .groupBy(*MONTHLY_KEYS, "accession_number", "insider_name")
+        .groupBy(*MONTHLY_KEYS, "accession_number", "insider_name", *also)
         .agg(
             F.count(F.lit(1)).alias("rows"),
             F.try_sum("transaction_shares").alias("shares"),
@@ -51,11 +48,15 @@ def monthly_totals(transactions: DataFrame) -> DataFrame:
             F.max("ingested_at").alias("loaded"),
         )
     )
+
+
+def merged_months(per_filing: DataFrame) -> DataFrame:
+    """Month x company x flag, from any number of state rows for each."""
     return per_filing.groupBy(*MONTHLY_KEYS).agg(
         F.countDistinct("accession_number").alias("num_filings"),
         F.countDistinct("insider_name").alias("num_unique_insiders"),
         F.sum("rows").alias("num_transactions"),
-        F.try_sum("shares").cast("decimal(38,9)").alias("total_shares"),
+        F.try_sum("shares").cast(SHARES).alias("total_shares"),
         exact_sum("value").alias("total_value_usd"),
         F.try_divide(exact_sum("price", PRICE_UNITS), F.sum("priced")).alias("avg_price_per_share"),
         F.max("largest").alias("max_single_transaction_usd"),
@@ -63,48 +64,78 @@ def monthly_totals(transactions: DataFrame) -> DataFrame:
     )
 
 
+def monthly_totals(transactions: DataFrame) -> DataFrame:
+    """Month x company x flag.
+
+    Aggregated per filing and insider first: the two distinct counts, which
+    copy every row they see, then see few.
+    """
+    return merged_months(filing_months(transactions))
+
+
+def with_net(totals: DataFrame) -> DataFrame:
+    """Monthly rows with the net value of the company's month on each."""
+    return totals.withColumn("net_sentiment_usd", net_over(W.partitionBy("issuer_ticker", "transaction_month_key")))
+
+
 def monthly_activity(transactions: DataFrame) -> DataFrame:
     """Month x company x flag, with the net value of the company's month on each row."""
-    company_month = W.partitionBy("issuer_ticker", "transaction_month_key")
-    return monthly_totals(transactions).withColumn("net_sentiment_usd", net_over(company_month))
+    return with_net(monthly_totals(transactions))
 
 
-def trader_totals(transactions: DataFrame) -> DataFrame:
-    """Insider x company x role x flag, valued transactions only."""
+def trader_months(transactions: DataFrame, *also: str) -> DataFrame:
+    """State of the trader table: insider x company x role x flag x month, and ``also``; valued transactions only."""
     return (
         _traded(transactions)
         .where(F.col("transaction_value_usd").isNotNull())
-        .groupBy(*TRADER_KEYS)
+        .groupBy(*TRADER_KEYS, "transaction_month_key", *also)
         .agg(
-            F.count(F.lit(1)).alias("num_transactions"),
-            F.countDistinct("transaction_month_key").alias("num_active_months"),
-            F.try_sum("transaction_shares").alias("total_shares"),
-            exact_sum("transaction_value_usd").alias("total_value_usd"),
-            exact_avg("transaction_value_usd").alias("avg_transaction_value_usd"),
-            F.max("transaction_value_usd").alias("max_transaction_value_usd"),
-            F.min("transaction_date").alias("first_transaction_date"),
-            F.max("transaction_date").alias("last_transaction_date"),
-            F.max("ingested_at").alias("last_ingested_at"),
+            F.count(F.lit(1)).alias("rows"),
+            F.try_sum("transaction_shares").alias("shares"),
+            exact_sum("transaction_value_usd").alias("value"),
+            F.max("transaction_value_usd").alias("largest"),
+            F.min("transaction_date").alias("first"),
+            F.max("transaction_date").alias("last"),
+            F.max("ingested_at").alias("loaded"),
         )
     )
 
 
+def merged_traders(per_month: DataFrame) -> DataFrame:
+    """Insider x company x role x flag, from any number of state rows for each."""
+    return per_month.groupBy(*TRADER_KEYS).agg(
+        F.sum("rows").alias("num_transactions"),
+        F.countDistinct("transaction_month_key").alias("num_active_months"),
+        F.try_sum("shares").cast(SHARES).alias("total_shares"),
+        exact_sum("value").alias("total_value_usd"),
+        F.try_divide(exact_sum("value"), F.sum("rows")).alias("avg_transaction_value_usd"),
+        F.max("largest").alias("max_transaction_value_usd"),
+        F.min("first").alias("first_transaction_date"),
+        F.max("last").alias("last_transaction_date"),
+        F.max("loaded").alias("last_ingested_at"),
+    )
+
+
+def trader_totals(transactions: DataFrame) -> DataFrame:
+    """Insider x company x role x flag, valued transactions only."""
+    return merged_traders(trader_months(transactions))
+
+
+def ranked_traders(totals: DataFrame) -> DataFrame:
+    return with_ranks(totals, {"rank_by_value": "total_value_usd"}, within="buy_sell_flag")
+
+
 def top_traders(transactions: DataFrame) -> DataFrame:
     """Trader totals ranked by value among buyers and among sellers."""
-    return with_ranks(trader_totals(transactions), {"rank_by_value": "total_value_usd"}, within="buy_sell_flag")
+    return ranked_traders(trader_totals(transactions))
 
 
-def company_totals(transactions: DataFrame) -> DataFrame:
-    """Ticker x issuer name, unrated and unfiltered.
-
-    Aggregated per insider first: distinct insiders are then plain counts, so
-    rows are not expanded once per distinct count, and a company with a large
-    share of the table is spread over its insiders.
-    """
-    per_insider = (
+def insider_companies(transactions: DataFrame, *also: str) -> DataFrame:
+    """State of the company table: ticker x issuer name x insider, and ``also``."""
+    return (
         _traded(transactions)
         .where(F.col("issuer_ticker").isNotNull())
-        .groupBy(*COMPANY_KEYS, "insider_name")
+        .groupBy(*COMPANY_KEYS, "insider_name", *also)
         .agg(
             *[
                 total
@@ -120,6 +151,28 @@ def company_totals(transactions: DataFrame) -> DataFrame:
             F.max("ingested_at").alias("loaded"),
         )
     )
+
+
+def merged_insiders(state: DataFrame) -> DataFrame:
+    """One row per company and insider, from one for each quarter."""
+    return state.groupBy(*COMPANY_KEYS, "insider_name").agg(
+        *[
+            total
+            for flag in TRADED_FLAGS
+            for total in (
+                F.sum(f"{flag}_rows").alias(f"{flag}_rows"),
+                F.try_sum(f"{flag}_shares").cast(SHARES).alias(f"{flag}_shares"),
+                exact_sum(f"{flag}_value").alias(f"{flag}_value"),
+            )
+        ],
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+        F.max("loaded").alias("loaded"),
+    )
+
+
+def merged_companies(per_insider: DataFrame) -> DataFrame:
+    """Ticker x issuer name, from one row for each insider."""
     insider = F.col("insider_name")
     return per_insider.groupBy(*COMPANY_KEYS).agg(
         *[
@@ -127,7 +180,7 @@ def company_totals(transactions: DataFrame) -> DataFrame:
             for flag in TRADED_FLAGS
             for total in (
                 F.sum(f"{flag}_rows").alias(f"num_{flag.lower()}_transactions"),
-                F.try_sum(f"{flag}_shares").cast("decimal(38,9)").alias(f"total_{flag.lower()}_shares"),
+                F.try_sum(f"{flag}_shares").cast(SHARES).alias(f"total_{flag.lower()}_shares"),
                 exact_sum(f"{flag}_value").alias(f"total_{flag.lower()}_value_usd"),
             )
         ],
@@ -140,11 +193,25 @@ def company_totals(transactions: DataFrame) -> DataFrame:
     )
 
 
+def company_totals(transactions: DataFrame) -> DataFrame:
+    """Ticker x issuer name, unrated and unfiltered.
+
+    Aggregated per insider first: distinct insiders are then plain counts, so
+    rows are not expanded once per distinct count, and a company with a large
+    share of the table is spread over its insiders.
+    """
+    return merged_companies(insider_companies(transactions))
+
+
 def company_sentiment(transactions: DataFrame) -> DataFrame:
     """Companies with enough activity: net position, buy ratio, label, ranks."""
+    return rated_companies(company_totals(transactions))
+
+
+def rated_companies(totals: DataFrame) -> DataFrame:
     buys, sells = F.col("num_buy_transactions"), F.col("num_sell_transactions")
     rated = (
-        company_totals(transactions)
+        totals
         .where(buys + sells >= ACTIVITY_THRESHOLD)
         .withColumn("net_value_usd", F.col("total_buy_value_usd") - F.col("total_sell_value_usd"))
         .withColumn("buy_ratio", ratio(buys, buys + sells))

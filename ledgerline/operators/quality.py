@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema
+from ..functions.money import CENTS, PRICE_UNITS, whole_units
+from .staging import SHARES
 
 ERROR, WARN = "error", "warn"
 
@@ -67,6 +70,9 @@ CHECKS = {
     ),
 }
 
+# Units that columns of transactions are added in.
+EXACT = {"transaction_value_usd": CENTS, "price_per_share": PRICE_UNITS}
+
 # Columns expected to be unique.
 UNIQUE = {"company_sentiment": ("issuer_ticker",)}
 
@@ -154,12 +160,27 @@ def rejected_numbers(raw: DataFrame) -> DataFrame:
     reason = (
         F.when(F.isnan(shares), F.lit("not a number"))
         .when(F.abs(shares) == float("inf"), F.lit("infinite"))
-        .when(shares.try_cast("decimal(38,9)").isNull(), F.lit("too large"))
+        .when(shares.try_cast(SHARES).isNull(), F.lit("too large"))
     )
     found = raw.where(shares.isNotNull()).withColumn("reason", reason).where(F.col("reason").isNotNull())
     return found.select("accession_number", "cik", "transaction_date", "quarter", "reason")
 
 
+def unheld(raw: DataFrame) -> DataFrame:
+    """Count the rows of ``rejected_numbers``, as a check: their shares are in no total."""
+    failures = rejected_numbers(raw).agg(F.count(F.lit(1)).alias("failures"))
+    return failures.select(*_result("raw", F.lit("transaction_shares"), F.lit("held"), F.lit(ERROR), F.col("failures")))
+
+
+def inexact(frame: DataFrame, model: str, units: Mapping[str, int]) -> DataFrame:
+    """Count values of each column too large for whole units: their groups are added as doubles, in any order."""
+    counts = frame.agg(
+        *[F.count_if(F.col(column).isNotNull() & whole_units(column, size).isNull()).alias(column) for column, size in units.items()]
+    )
+    rows = counts.select(F.inline(F.array(*[F.struct(F.lit(column).alias("column"), F.col(column).alias("failures")) for column in units])))
+    return rows.select(*_result(model, F.col("column"), F.lit("exact"), F.lit(WARN), F.col("failures")))
+
+
 class QualityError(Exception):
     """Raised by ``require`` with the failing checks."""
 
@@ -168,4 +189,4 @@ def require(results: DataFrame) -> None:
     """Raise if any error-severity check failed; results hold one row per check."""
     failed = results.where(F.col("status") == ERROR).select("model", "column", "check").collect()
     if failed:
-        raise QualityError(", ".join(f"{row['model']}.{row['column']} {row['check']}" for row in failed))
+        raise QualityError(", ".join(sorted(f"{row['model']}.{row['column']} {row['check']}" for row in failed)))

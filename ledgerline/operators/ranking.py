@@ -13,18 +13,6 @@ from pyspark.sql import functions as F
 _BINS_PER_DECADE = 1000
 
 
-def windowed_ranks(frame: DataFrame, ranks: Mapping[str, str], within: str | None = None) -> DataFrame:
-    """The same ranks from one sort per group; for uses that cut ranks in the map tasks."""
-    group = F.col(within) if within else F.lit(0)
-    return frame.select(
-        "*",
-        *[
-            F.rank().over(W.partitionBy(group).orderBy(F.col(value).desc_nulls_last())).cast("bigint").alias(name)
-            for name, value in ranks.items()
-        ],
-    )
-
-
 def with_ranks(frame: DataFrame, ranks: Mapping[str, str], within: str | None = None) -> DataFrame:
     """Add ``rank() over (partition by within order by value desc)`` columns, at any size the same way.
 

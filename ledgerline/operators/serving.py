@@ -10,16 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions.money import exact_sum, ratio
 from .marts import TRADER_KEYS
-from .ranking import windowed_ranks, with_ranks
 
 FEED_LIMIT = 50
 SENTIMENT_LIMIT = 100
 TOP = 10
 
-# Ranks up to this are cut in every map task before the shuffle
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-EARLY_LIMIT = 1000
-
 _SENTIMENT_ORDER = ("issuer_ticker", "issuer_name")
 
 
@@ -47,16 +42,6 @@ def trader_feed(traders: DataFrame, limit: int = FEED_LIMIT) -> DataFrame:
     )
 
 
-def leading_traders(totals: DataFrame, limit: int = FEED_LIMIT) -> DataFrame:
-    """``trader_feed`` straight from unranked totals.
-
-    For limits up to EARLY_LIMIT the rank filter reaches the window, so map
-    tasks keep only their leaders; for larger ones the whole table is ranked.
-    """
-    rank = windowed_ranks if limit <= EARLY_LIMIT else with_ranks
-    return trader_feed(rank(totals, {"rank_by_value": "total_value_usd"}, "buy_sell_flag"), limit)
-
-
 def sentiment_feed(sentiment: DataFrame, limit: int = SENTIMENT_LIMIT) -> DataFrame:
     """Companies with the largest net position either way."""
     return sentiment.orderBy(F.abs("net_value_usd").desc_nulls_last(), *_SENTIMENT_ORDER).limit(limit)

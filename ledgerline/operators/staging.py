@@ -9,13 +9,16 @@ from ..functions.codes import buy_sell_flag, insider_role, is_set, ownership_typ
 from ..functions.money import transaction_value
 from ..functions.text import strip, strip_upper, title_case
 
+# Shares as filed, where they do not fit the type of transaction_shares.
+UNHELD = "unheld_shares"
+SHARES = "decimal(38,9)"
 
 NAMES = ("issuer_name", "filer_company_name", "insider_name", "officer_title")
 
 
 def stage(raw: DataFrame) -> DataFrame:
     """One row per transaction; header-only rows (no code) are dropped. Map-only."""
-    return title_names(clean(raw))
+    return title_names(clean(raw)).drop(UNHELD)
 
 
 def title_names(transactions: DataFrame) -> DataFrame:
@@ -29,8 +32,10 @@ def clean(raw: DataFrame) -> DataFrame:
     """``stage`` with names trimmed but still as filed.
 
     Title casing costs more than the rest of staging together, so jobs that
-    drop duplicates leave it until those are gone.
+    drop duplicates leave it until those are gone. Shares that do not fit stay
+    in UNHELD: ``deduplicate`` keeps such rows apart, ``quality.unheld`` counts them.
     """
+    shares = F.col("transaction_shares").try_cast(SHARES)
     return raw.where(F.col("transaction_code").isNotNull()).select(
         "accession_number",
         strip("cik").alias("cik"),
@@ -49,7 +54,7 @@ def clean(raw: DataFrame) -> DataFrame:
         "period_of_report",
         strip_upper("transaction_code").alias("transaction_code"),
         transaction_type("transaction_code").alias("transaction_type"),
-        F.col("transaction_shares").try_cast("decimal(38,9)").alias("transaction_shares"),
+        shares.alias("transaction_shares"),
         "price_per_share",
         "shares_owned_after",
         transaction_value("transaction_shares", "price_per_share").alias("transaction_value_usd"),
@@ -59,4 +64,5 @@ def clean(raw: DataFrame) -> DataFrame:
         "form_type",
         "quarter",
         "ingested_at",
+        F.when(shares.isNull(), F.col("transaction_shares")).alias(UNHELD),
     )

@@ -369,6 +369,10 @@ _STALE = """SELECT 'raw' AS model, 'ingested_at' AS "column", 'freshness' AS "ch
                    CASE WHEN age > 45 THEN 1 ELSE 0 END AS failures,
                    CASE WHEN age <= 45 THEN 'pass' WHEN age <= 90 THEN 'warn' ELSE 'error' END AS status
             FROM (SELECT date_diff('day', CAST(max(ingested_at) AS DATE), DATE '2001-10-01') AS age FROM raw)"""
+_HELD = """SELECT 'raw' AS model, 'transaction_shares' AS "column", 'held' AS "check", 'error' AS severity, 0 AS failures,
+                  'pass' AS status
+           UNION ALL SELECT 'intermediate', 'transaction_value_usd', 'exact', 'warn', 0, 'pass'
+           UNION ALL SELECT 'intermediate', 'price_per_share', 'exact', 'warn', 0, 'pass'"""
 _VOLUME = f"coalesce({_money('total_value_usd')}, 0) AS total_value_usd"
 _NET = f"coalesce({_money('net_sentiment_usd')}, 0) AS net_sentiment_usd"
 _COUNTED = "CAST(sum(num_transactions) AS BIGINT) AS num_transactions"
@@ -396,6 +400,13 @@ def _extreme(order: str) -> str:
     )
 
 
+def _after_overwrite(sql: str) -> str:
+    """``sql`` over tables whose chosen quarters were landed again, with twice the shares and without small orders."""
+    chosen = "quarter IN ('1996Q1', '1999Q3')"
+    doubled = sql.replace("l_quantity AS transaction_shares", f"CASE WHEN {chosen} THEN 2 * l_quantity ELSE l_quantity END AS transaction_shares")
+    return doubled.replace("FROM lineitem JOIN listed ON l_orderkey = o_orderkey", f"FROM lineitem JOIN listed ON l_orderkey = o_orderkey WHERE NOT ({chosen} AND l_quantity < 5)")
+
+
 ORACLE = {
     # sources
     "index_parse": _out(_INDEX_COLUMNS, "index_rows", "index_rows"),
@@ -619,7 +630,7 @@ ORACLE = {
     "dq_accepted_values": _sql(_checks(_ACCEPTED, "accepted_values"), "raw", "staged", "monthly", "sentiment"),
     "dq_unique": _sql(_UNIQUE, "sentiment"),
     "audit_report": _sql(
-        " UNION ALL ".join((_checks(_NOT_NULL, "not_null"), _checks(_ACCEPTED, "accepted_values"), _UNIQUE, _STALE)),
+        " UNION ALL ".join((_checks(_NOT_NULL, "not_null"), _checks(_ACCEPTED, "accepted_values"), _UNIQUE, _STALE, _HELD)),
         "raw", "staged", "tx", "monthly", "traders", "sentiment",
     ),
     "dq_freshness": _sql(
@@ -648,5 +659,31 @@ ORACLE = {
     "csv_export": _out(_MONTHLY_FEED_COLUMNS, "monthly", "monthly"),
     "csv_export_traders": _out(_TRADER_FEED_COLUMNS, "trader_feed", "trader_feed"),
     "csv_export_sentiment": _out(_SENTIMENT_COLUMNS, "sentiment", "sentiment"),
-    "verify_output": _sql("SELECT DISTINCT quarter, true AS has_files FROM raw", "raw"),
+    "verify_output": _sql("SELECT DISTINCT quarter, true AS has_files, true AS as_written FROM raw", "raw"),
+    "documents_tree": _sql(
+        """SELECT accession_number, count(*) AS transactions, CAST(NULL AS VARCHAR) AS problem
+           FROM (SELECT DISTINCT accession_number, o_orderkey FROM listed) JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL""",
+        "listed",
+    ),
+    "ingest_files": _per_quarter(),
+    "ingest_counts": _sql(
+        """SELECT CASE WHEN o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) THEN 'missing'
+                       WHEN o_orderstatus = 'P' AND o_orderpriority = '2-HIGH' THEN 'blank'
+                       WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'unreadable'
+                       ELSE 'landed' END AS outcome, count(*) AS filings
+           FROM listed GROUP BY ALL""",
+        "listed",
+    ),
+    "ingest_pathless": _per_quarter(),
+    "publish_gate": _sql(
+        f"""SELECT *, 'raw.transaction_code accepted_values, staging.ownership_type accepted_values' AS refused FROM (
+            SELECT 'monthly_activity' AS "table", count(*) AS rows, {_money('total_value_usd')} AS total FROM monthly
+            UNION ALL SELECT 'top_traders', count(*), {_money('total_value_usd')} FROM traders
+            UNION ALL SELECT 'company_sentiment', count(*), {_money('net_value_usd')} FROM sentiment)""",
+        "monthly", "traders", "sentiment",
+    ),
+    "marts_after_overwrite": _after_overwrite(_out(_MONTHLY_COLUMNS, "monthly", "monthly")),
+    "traders_after_overwrite": _after_overwrite(_out(_TRADER_FEED_COLUMNS, "traders", "traders")),
+    "companies_after_overwrite": _after_overwrite(_out(_SENTIMENT_COLUMNS, "sentiment", "sentiment")),
+    "cached_feed": _out(_SENTIMENT_COLUMNS, "(SELECT * FROM sentiment ORDER BY abs(net_value_usd) DESC, issuer_ticker, issuer_name LIMIT 100)", "sentiment"),
 }

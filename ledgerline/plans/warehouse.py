@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.dedup import insider_transactions
 from ..operators.marts import MONTHLY_KEYS, company_sentiment, monthly_activity, top_traders
-from ..operators.quality import CHECKS, FRESH, UNIQUE, audit, stale, unique
+from ..operators.quality import CHECKS, EXACT, FRESH, UNIQUE, audit, inexact, stale, unheld, unique
 from ..operators.staging import clean
 from ..sinks.tables import read_table, write_monthly, write_table
 
@@ -95,6 +95,10 @@ def audit_all(
     results = [audit(tables[model], model, checks) for model, checks in chosen.items() if checks]
     if wanted("unique"):
         results += [unique(tables[model], model, column) for model, columns in UNIQUE.items() for column in columns]
+    if wanted("held"):
+        results.append(unheld(raw))
+    if wanted("exact"):
+        results.append(inexact(transactions, "intermediate", EXACT))
     if as_of is not None and wanted("freshness"):
         results += [stale(tables[model], model, as_of, column) for model, column in FRESH.items()]
     report = results[0]

@@ -6,20 +6,31 @@ from pyspark.sql import types as T
 
 # Column names, types and nullability of a raw transaction row.
 RAW = T.StructType(
-    [T.StructField("accession_number", T.StringType(), False), T.StructField("cik", T.StringType(), False)]
-    + [T.StructField(name, T.StringType()) for name in ("company_name", "form_type")]
-    + [T.StructField(name, T.DateType()) for name in ("filing_date", "period_of_report")]
-    + [
-        T.StructField(name, T.StringType())
-        for name in (
-            "issuer_cik", "issuer_name", "issuer_ticker", "reporting_owner_name",
-            "is_director", "is_officer", "is_ten_pct_owner", "officer_title",
-        )
+    [
+        T.StructField("accession_number", T.StringType(), False),
+        T.StructField("cik", T.StringType(), False),
+        T.StructField("company_name", T.StringType()),
+        T.StructField("form_type", T.StringType()),
+        T.StructField("filing_date", T.DateType()),
+        T.StructField("period_of_report", T.DateType()),
+        T.StructField("issuer_cik", T.StringType()),
+        T.StructField("issuer_name", T.StringType()),
+        T.StructField("issuer_ticker", T.StringType()),
+        T.StructField("reporting_owner_name", T.StringType()),
+        T.StructField("is_director", T.StringType()),
+        T.StructField("is_officer", T.StringType()),
+        T.StructField("is_ten_pct_owner", T.StringType()),
+        T.StructField("officer_title", T.StringType()),
+        T.StructField("transaction_date", T.DateType()),
+        T.StructField("transaction_code", T.StringType()),
+        T.StructField("transaction_shares", T.DoubleType()),
+        T.StructField("price_per_share", T.DoubleType()),
+        T.StructField("shares_owned_after", T.DoubleType()),
+        T.StructField("direct_or_indirect", T.StringType()),
+        T.StructField("security_title", T.StringType()),
+        T.StructField("quarter", T.StringType()),
+        T.StructField("ingested_at", T.TimestampType()),
     ]
-    + [T.StructField("transaction_date", T.DateType()), T.StructField("transaction_code", T.StringType())]
-    + [T.StructField(name, T.DoubleType()) for name in ("transaction_shares", "price_per_share", "shares_owned_after")]
-    + [T.StructField(name, T.StringType()) for name in ("direct_or_indirect", "security_title", "quarter")]
-    + [T.StructField("ingested_at", T.TimestampType())]
 )
 
 # Form types that carry insider transactions.

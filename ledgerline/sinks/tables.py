@@ -4,40 +4,50 @@ from __future__ import annotations
 
 import datetime as dt
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Mapping, Sequence
 
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-def _observed_rows(seen: Observation) -> int:
-    """Rows counted by a finished write; a plan proved empty has dropped its counter."""
-    try:
-        return seen.get["rows"]
-    except Py4JJavaError as error:
-        if "AssertionError" in str(error.java_exception):
-            return 0
-        raise
+# A row is stored where this column is true.
+KEEP = "_keep"
 
 
-def write_raw(raw: DataFrame, root: str, mode: str = "overwrite") -> int:
-    """Land raw rows by quarter and return how many were written.
+def write_observed(rows: DataFrame, root: str, mode: str, metrics: Mapping[str, Column], unstored: Sequence[str] = ()) -> dict[str, int]:
+    """Land the rows marked KEEP by quarter, without ``unstored`` columns, and return what ``metrics`` count over all rows, in one job.
 
-    ``overwrite`` replaces only the quarters present in ``raw``, so a re-run is
-    idempotent; ``append`` adds files. Rebalancing makes few well-sized files
-    per quarter and splits a quarter that holds most of the data. Rows are
-    counted behind that shuffle, in the writing tasks, so that repeating a lost
-    task does not count twice.
+    Rebalancing makes few well-sized files per quarter and splits a quarter that
+    holds most of the data. Rows are counted behind that shuffle, in the writing
+    tasks, so that repeating a lost task does not count twice. One row of NULLs,
+    never stored, keeps the counters in plans that Spark finds to be empty.
     """
+    names = [name for name in rows.columns if name != KEEP]
+    blank = rows.sparkSession.range(1).select(
+        *[F.lit(None).cast(rows.schema[name].dataType).alias(name) for name in names], F.lit(False).alias(KEEP)
+    )
     seen = Observation()
     (
-        raw.hint("rebalance", F.col("quarter"))
-        .observe(seen, F.count(F.lit(1)).alias("rows"))
+        rows.unionByName(blank)
+        .hint("rebalance", F.col("quarter"))
+        .observe(seen, *[metric.alias(name) for name, metric in metrics.items()])
+        .where(KEEP)
+        .drop(KEEP, *unstored)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("quarter")
         .parquet(root)
     )
-    return _observed_rows(seen)
+    write_manifest(rows.sparkSession, root)
+    return seen.get
+
+
+def write_raw(raw: DataFrame, root: str, mode: str = "overwrite") -> int:
+    """Land raw rows by quarter and return how many were written.
+
+    ``overwrite`` replaces only the quarters present in ``raw``, so a re-run is
+    idempotent; ``append`` adds files.
+    """
+    return write_observed(raw.withColumn(KEEP, F.lit(True)), root, mode, {"rows": F.count_if(KEEP)})["rows"]
 
 
 def write_documents(documents: DataFrame, root: str) -> None:
@@ -78,6 +88,37 @@ def write_csv(frame: DataFrame, folder: str, name: str, day: dt.date) -> str:
     return path
 
 
+def _data_files(spark: SparkSession, root: str) -> DataFrame:
+    """``(file, bytes)`` under ``root``, names relative to it; only names and sizes are listed, no content is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(root)
+    name = root.rstrip("/").rsplit("/", 1)[-1]
+    return files.select(F.substring_index("path", f"/{name}/", -1).alias("file"), F.col("length").alias("bytes"))
+
+
+def write_manifest(spark: SparkSession, root: str) -> None:
+    """Keep with a table which files it has and how large they are, in a folder that readers of the table skip."""
+    _data_files(spark, root).write.mode("overwrite").parquet(f"{root}/_manifest")
+
+
+def verify(spark: SparkSession, root: str, by: str = "quarter") -> DataFrame:
+    """Files under ``root`` against its manifest, per value of partition ``by``.
+
+    ``files`` and ``bytes`` are what is there; ``missing`` files are listed but
+    gone, ``changed`` ones have another size, ``extra`` ones were never listed.
+    """
+    there = _data_files(spark, root).withColumnRenamed("bytes", "now")
+    listed = spark.read.schema("file string, bytes bigint").parquet(f"{root}/_manifest")
+    both = there.join(listed, "file", "full")
+    now, then = F.col("now"), F.col("bytes")
+    return both.groupBy(F.regexp_extract("file", rf"(?:^|/){by}=([^/]*)/", 1).alias(by)).agg(
+        F.count(now).alias("files"),
+        F.coalesce(F.sum(now), F.lit(0)).alias("bytes"),
+        F.count_if(now.isNull()).alias("missing"),
+        F.count_if(now != then).alias("changed"),
+        F.count_if(then.isNull()).alias("extra"),
+    )
+
+
 def output_files(spark: SparkSession, root: str, by: str | None = None) -> DataFrame:
     """Files and megabytes under ``root``, in all or per value of partition ``by``.
 

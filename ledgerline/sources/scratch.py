@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only for local sessions without it."""
+    """The cluster's checkpoint folder; where none is set, a folder of the warehouse, which all executors share too."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
+
+
+def _file_system(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, found = _file_system(spark, path)
+    return system.exists(found)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove what this application left in the shared folder; for the end of a job whose results are stored elsewhere."""
+    system, found = _file_system(spark, f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+    system.delete(found, True)
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

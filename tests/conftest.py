@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -16,6 +17,7 @@ def spark():
         spark__ui__enabled="false",
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="ledgerline-tests-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -107,3 +107,12 @@ def test_exact_sum(spark):
 
 def test_ratio_by_zero(spark):
     assert spark.sql("select 1 a, 0 b").select(money.ratio("a", "b")).first()[0] is None
+
+
+def test_sums_beyond_what_a_double_counts_exactly(spark):
+    big = spark.createDataFrame([(2.0**53,), (1.0,), (-(2.0**53),), (1e25,), (-1e25,), (0.1,), (0.2,)], "v double").repartition(5)
+    assert big.agg(money.exact_sum("v")).first()[0] == 1.3
+    beyond = spark.createDataFrame([(9e35,)] * 200 + [(1.0,)], "v double")  # 1.8e40 cents have more than 38 digits
+    assert beyond.agg(money.exact_sum("v")).first()[0] == pytest.approx(1.8e38)
+    odd = spark.createDataFrame([(float("inf"),), (1.0,)], "v double")
+    assert odd.agg(money.exact_sum("v")).first()[0] == float("inf")

@@ -4,7 +4,9 @@ import pytest
 from helpers import raw_rows
 
 from ledgerline.operators import quality
+from ledgerline.operators.dedup import insider_transactions
 from ledgerline.operators.quality import CHECKS, Check, QualityError, audit, freshness, require, unique
+from ledgerline.operators.staging import UNHELD, clean, stage
 
 
 def test_audit_counts_and_severity(spark):
@@ -53,3 +55,17 @@ def test_stale_tables_are_reported_like_other_checks(spark):
         row = quality.stale(rows, "raw", dt.date(2024, 3, 6) + dt.timedelta(days)).first()
         assert (row.failures, row.status) == (failures, status)
     assert quality.stale(rows.limit(0), "raw", dt.date(2024, 3, 6)).first().status == "error"
+
+
+def test_shares_that_do_not_fit_are_counted_and_stay_apart(spark):
+    same = {"accession_number": "a"}
+    rows = raw_rows(spark, *[{**same, "transaction_shares": v} for v in (1e40, 2e40, 1e40, 5.0, 5.0, None)])
+    assert (quality.unheld(rows).first().failures, quality.unheld(rows).first().status) == (3, "error")
+    kept = insider_transactions(clean(rows))
+    assert kept.count() == 4 and UNHELD not in kept.columns and UNHELD not in stage(rows).columns
+
+
+def test_values_too_large_for_exact_sums_are_counted(spark):
+    rows = insider_transactions(clean(raw_rows(spark, {"transaction_shares": 1e28, "price_per_share": 1e20}, {}, {"price_per_share": None})))
+    found = {r.column: (r.failures, r.status) for r in quality.inexact(rows, "intermediate", quality.EXACT).collect()}
+    assert found == {"transaction_value_usd": (1, "warn"), "price_per_share": (0, "pass")}

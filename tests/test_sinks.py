@@ -22,6 +22,33 @@ def test_overwrite_touches_only_its_quarters(spark, tmp_path):
     assert files["2024Q1"].files == 2 and files["2024Q2"].files == 1 and files["2024Q1"].megabytes > 0
 
 
+def test_manifest_finds_lost_changed_and_foreign_files(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    tables.write_raw(raw_rows(spark, {}, {"quarter": "2024Q2"}, {"quarter": "2024Q3"}), root)
+
+    def found():
+        return {r.quarter: (r.files, r.missing, r.changed, r.extra) for r in tables.verify(spark, root).collect()}
+
+    assert found() == {q: (1, 0, 0, 0) for q in ("2024Q1", "2024Q2", "2024Q3")}
+    file = {q: next((tmp_path / "raw" / f"quarter={q}").glob("*.parquet")) for q in found()}
+    file["2024Q1"].rename(file["2024Q3"].parent / "foreign.parquet")
+    file["2024Q2"].write_bytes(b"short")
+    assert found() == {"2024Q1": (0, 1, 0, 0), "2024Q2": (1, 0, 1, 0), "2024Q3": (2, 0, 0, 1)}
+
+
+def test_quarters_are_listed_without_opening_files(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    tables.write_raw(raw_rows(spark, {}, {"quarter": "2023Q4"}), root)
+    for file in (tmp_path / "raw").rglob("*.parquet"):
+        file.write_bytes(b"no table")
+    assert [r.quarter for r in landing.available_quarters(spark, root).collect()] == ["2023Q4", "2024Q1"]
+
+
+def test_an_empty_landing_counts_nothing(spark, tmp_path):
+    rows = raw_rows(spark, {}).join(spark.range(3).where("id > 5").selectExpr("string(id) as cik"), "cik").select(*raw_rows(spark, {}).columns)
+    assert tables.write_raw(rows, str(tmp_path / "raw")) == 0
+
+
 def test_csv(spark, tmp_path):
     frame = spark.createDataFrame([("a,\"b\"", 1.5), (None, 2.0)], "name string, value double")
     path = tables.write_csv(frame, str(tmp_path), "top_traders", dt.date(2024, 3, 9))
