@@ -40,16 +40,23 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
     return orders.select(*_ORDER_COLUMNS)
 
 
-def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with their order.
+def _spread(frame: DataFrame, like: DataFrame, key: str) -> DataFrame:
+    """``frame`` on every core, dealt out by ``key``, if ``like``, which it was made from, has fewer splits than there are cores.
 
-    A file of few row groups is read by few tasks; dealt by order key, every
-    core takes part in what follows, and a join by that key needs no more.
+    Spark may send the larger side of a join of small files to the tasks of the
+    smaller one, and then a single task goes on. Large inputs stay as they are.
     """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame if like.rdd.getNumPartitions() >= cores else frame.repartition(cores, key)
+
+
+def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines with their order."""
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"
-    ).repartition("l_orderkey")
-    return lines.join(_orders(spark, folder), F.col("l_orderkey") == F.col("o_orderkey"))
+    )
+    joined = lines.join(_orders(spark, folder), F.col("l_orderkey") == F.col("o_orderkey"))
+    return _spread(joined, lines, "l_orderkey")
 
 
 ACCESSION = (
