@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,6 +36,19 @@ def entropy(value: str) -> float:
     return -sum(n / len(value) * math.log2(n / len(value)) for n in counts)
 
 
+def covered(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the disjoint stretches that ``spans`` cover, in order."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, b in sorted(spans):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def find(text: str) -> list[tuple[str, int, int, str]]:
     """(kind, start, end, value) of all candidates, base kinds by their patterns, then mixed runs clear of them."""
     raw = text.lower().encode()
@@ -44,12 +58,13 @@ def find(text: str) -> list[tuple[str, int, int, str]]:
     if "AKIA" in text:
         found += [("access", *m.span(), m[1]) for m in ACCESS.finditer(text)]
     found += [("hex", *m.span(), m[1]) for m in HEX.finditer(text)]
-    base = sorted((a, b) for _, a, b, _ in found)
+    starts, ends = covered([(a, b) for _, a, b, _ in found])
     for m in MIXED.finditer(text):
         value = m[1]
         if value.isalpha() or value.isdigit() or not re.search("[0-9]", value) or entropy(value) < ENTROPY:
             continue
-        if not any(a < m.end() and m.start() < b for a, b in base):
+        at = bisect_right(ends, m.start())
+        if at == len(starts) or starts[at] >= m.end():
             found.append(("owned", *m.span(), value))
     return sorted(found, key=lambda f: (f[1], KINDS.index(f[0])))
 
@@ -69,7 +84,7 @@ def candidates(docs: DataFrame, id_column: str, owner: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             hits = [
-                [{"kind": k, "start": a, "end": b, "value": hashlib.sha256(v.encode()).digest()[:16]} for k, a, b, v in find(raw.decode())]
+                [{"kind": k, "start": a, "end": b, "value": hashlib.sha256(v.encode()).digest()[:16]} for k, a, b, v in find(raw.decode("utf-8", "replace"))]
                 for raw in texts_of(batch)
             ]
             yield pa.RecordBatch.from_arrays(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -151,6 +152,21 @@ def read_items(benchmark: DataFrame, item: str = "item_id", text: str = "text")
     return groups
 
 
+_made: dict[str, list[tuple[Automaton, _Neighbours]]] = {}
+
+
+def prepared(key: str, shared: list, window: int) -> list[tuple[Automaton, _Neighbours]]:
+    """The automata of a scan, built once in each worker process and kept from task to task until another scan needs it."""
+    if key not in _made:
+        _made.clear()
+        found = []
+        for value in shared:
+            automaton = Automaton(value.value, window)
+            found.append((automaton, _Neighbours(value.value, automaton.shortest == 1)))
+        _made[key] = found
+    return _made[key]
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", window: int = WINDOW, clean: bool = False,
          keep: tuple[str, ...] = (), prefix: str = "") -> DataFrame:
     """Hits of every document against every item.
@@ -169,13 +185,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", windo
     groups = read_items(benchmark)
     spark = docs.sparkSession
     shared = [spark.sparkContext.broadcast(g) for g in groups]
-    made: list[tuple[Automaton, _Neighbours]] = []
-
-    def prepared() -> list[tuple[Automaton, _Neighbours]]:
-        for value in shared[len(made):]:
-            automaton = Automaton(value.value, window)
-            made.append((automaton, _Neighbours(value.value, automaton.shortest == 1)))
-        return made
+    key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -183,7 +193,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", windo
             words = Words(texts, ALNUM)
             hits: dict[int, np.ndarray] = {}
             items: dict[int, set[str]] = defaultdict(set)
-            for automaton, near in prepared():
+            for automaton, near in prepared(key, shared, window):
                 for text, first, last in near.runs(words, automaton.shortest):
                     for i, size, owners in automaton.stream([words.word(k) for k in range(first, last)]):
                         if text not in hits:

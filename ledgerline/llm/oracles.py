@@ -96,3 +96,62 @@ with recursive found as (
 select j.word, j.form, c.last as root, j.n::bigint as n, j.n_near::bigint as n_near, j.form_n::bigint as form_n
 from judged j join chains c on c.word = j.word and c.next is null
 """
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+NEAR_DUPLICATES = f"""
+with recursive words as (
+    select doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') as words from documents
+), shingles as (
+    select doc_id, case when len(words) = 0 then [] when len(words) = 1 then [words[1]]
+                        else list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) end as found
+    from words
+), sizes as (
+    select doc_id, len(found)::bigint as n from shingles
+), sets as (
+    select min(doc_id) as doc_id, found, n from (select s.doc_id, list_sort(s.found) as found, z.n from shingles s join sizes z using (doc_id)) where n > 0 group by found, n
+), each as (
+    select doc_id, n, unnest(found) as shingle from sets
+), shared as (
+    select a.doc_id as a, b.doc_id as b, count(*) as common, any_value(a.n) as a_n, any_value(b.n) as b_n
+    from each a join each b on a.shingle = b.shingle and a.doc_id < b.doc_id and 100 * a.n >= 80 * b.n and 100 * b.n >= 80 * a.n
+    group by a.doc_id, b.doc_id
+), links as (
+    select a, b from shared where 100 * common >= 80 * (a_n + b_n - common)
+    union all select b, a from shared where 100 * common >= 80 * (a_n + b_n - common)
+), reached as (
+    select doc_id, doc_id as other from sets
+    union
+    select r.doc_id, l.b from reached r join links l on l.a = r.other
+), roots as (
+    select doc_id, min(other) as root from reached group by doc_id
+), placed as (
+    select s.doc_id, z.n, r.root from shingles s join sizes z using (doc_id)
+    left join sets e on e.found = list_sort(s.found) and z.n > 0 left join roots r on r.doc_id = e.doc_id
+)
+select doc_id, n as n_shingles, coalesce(root, doc_id) as component_id, coalesce(root, doc_id) = doc_id as kept from placed
+"""
+
+DECONTAMINATION = f"""
+with item_words as (
+    select item_id::varchar as item_id, regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as words from benchmark
+), windows as (
+    select distinct item_id, least(10, len(words)) as size,
+           array_to_string(words[i:i + least(10, len(words)) - 1], ' ') as run
+    from (select item_id, words, unnest(range(1, len(words) - least(10, len(words)) + 2)) as i from item_words where len(words) > 0)
+), doc_words as (
+    select doc_id, regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as words from documents
+), starts as (
+    select doc_id, i, size, array_to_string(words[i:i + size - 1], ' ') as run
+    from (select d.doc_id, d.words, s.size, unnest(range(1, len(d.words) - s.size + 2)) as i from doc_words d, (select distinct size from windows) s)
+), hits as (
+    select s.doc_id, s.i, s.size, w.item_id from starts s join windows w on w.run = s.run and w.size = s.size
+), hit_words as (
+    select doc_id, count(distinct at) as n from (select doc_id, unnest(range(i, i + size)) as at from hits) group by doc_id
+), hit_items as (
+    select doc_id, count(*) as n, string_agg(item_id, ',' order by item_id) as listed from (select distinct doc_id, item_id from hits) group by doc_id
+)
+select d.doc_id, len(d.words)::bigint as n_words, coalesce(h.n, 0)::bigint as n_hit, coalesce(i.n, 0)::bigint as n_items,
+       sha256(coalesce(i.listed, '')) as items_sha256, coalesce(h.n, 0) > 0 as contaminated
+from doc_words d left join hit_words h using (doc_id) left join hit_items i using (doc_id)
+"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -19,6 +21,8 @@ LENGTH = 2048
 UNIT = 8
 # Column generation ends when no pattern is worth this much more than a sequence: the plan is then as near its bound.
 GAP = 5e-4
+# Steps for each class in which the sum may stay as it is, before the plan is given up as stalled.
+STALLED = 50
 # Parts a length class is ranked in, so that no task ranks a whole class.
 BUCKETS = 128
 
@@ -82,13 +86,19 @@ def plan(demand: np.ndarray, capacity: int) -> list[tuple[int, np.ndarray]]:
             basis[i, i] = capacity // (k + 1)
         inverse = np.diag(1 / np.diag(basis))
         amounts = demand[used] / np.diag(basis)
-        for step in range(50 * len(used)):
+        best, since = math.inf, 0
+        for step in itertools.count():
             duals = inverse.sum(axis=0)
             values = np.zeros(len(demand))
             values[used] = np.maximum(duals, 0)
             worth, counts = best_pattern(values, capacity)
             if worth <= 1 + GAP:
                 break
+            # a pattern that is worth more makes the sum smaller, but for steps where a class is just used up
+            total = float(amounts.sum())
+            best, since = (total, step) if total < best - 1e-9 else (best, since)
+            if step - since > STALLED * len(used):
+                raise ArithmeticError(f"column generation stalls {worth - 1:.2g} over its gap")
             column = counts[used].astype(float)
             direction = (inverse * column).sum(axis=1)
             up = direction > 1e-9

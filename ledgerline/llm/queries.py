@@ -124,6 +124,8 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_near_duplicates": oracles.NEAR_DUPLICATES,
+    "op8_decontamination": oracles.DECONTAMINATION,
     "op11_conversation_trie": oracles.CONVERSATION_TRIE,
     "op12_warc": oracles.WARC,
     "op13_spelling_variants": oracles.SPELLING_VARIANTS,

@@ -42,7 +42,7 @@ def opened(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def train(docs: DataFrame, tokenizer: str, id_column: str = "doc_id") -> bytes:
+def train(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", width: int = 2) -> bytes:
     """Dictionary content from a bounded sample of short documents; empty if there is nothing to learn from.
 
     Ids alone travel to choose the sample; then the texts of the chosen, one of
@@ -58,7 +58,7 @@ def train(docs: DataFrame, tokenizer: str, id_column: str = "doc_id") -> bytes:
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = word_tokens(tokenizer).ids
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([narrow(ids(t), 2) for t in texts_of(batch)], pa.binary())], ["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array([narrow(ids(t), width) for t in texts_of(batch)], pa.binary())], ["ids"])
 
     samples = [bytes(row.ids) for row in arrow_map(sample.select("text"), encoded, "ids binary").collect() if row.ids]
     try:
@@ -73,9 +73,22 @@ def dictionary(content: bytes):
     return zstd.ZstdCompressionDict(content) if len(content) >= 8 else None
 
 
+def width_of(tokenizer: str) -> int:
+    """Bytes that hold every id of a vocabulary."""
+    from tokenizers import Tokenizer
+
+    highest = max([END, *Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True).values()])
+    return 2 if highest < 1 << 16 else 4
+
+
 def narrow(ids: bytes, width: int) -> bytes:
-    """Little-endian 32-bit ids in ``width`` bytes each."""
-    return ids if width == 4 else np.frombuffer(ids, "<u4").astype("<u2").tobytes()
+    """Little-endian 32-bit ids in ``width`` bytes each; raises ValueError if one does not fit."""
+    if width == 4:
+        return ids
+    wide = np.frombuffer(ids, "<u4")
+    if len(wide) and wide.max() >= 1 << 16:
+        raise ValueError(f"id {wide.max()} does not fit {width} bytes")
+    return wide.astype("<u2").tobytes()
 
 
 class Writer:
@@ -147,17 +160,18 @@ class Reader:
             first = last
 
 
-def write(docs: DataFrame, folder: str, id_column: str = "doc_id", tokenizer: str | None = None, width: int = 2) -> tuple[DataFrame, bytes]:
+def write(docs: DataFrame, folder: str, id_column: str = "doc_id", tokenizer: str | None = None, width: int | None = None) -> tuple[DataFrame, bytes]:
     """Token files of all documents under ``folder`` and their manifest (part, path, documents, tokens).
 
     Documents are ordered by id over the files (null ids first, repeated ids by
-    text); ``width`` is the bytes of an id. Every document ends with id 1; a
+    text); ``width`` is the bytes of an id, by default as many as the vocabulary needs. Every document ends with id 1; a
     null text has only that. A repeated task writes a file of another name,
     and the manifest names those of the tasks that counted. ``folder`` must be
     one that Arrow's file systems reach from every executor.
     """
     path = tokenizer or default_path()
-    content = train(docs, path, id_column)
+    width = width or width_of(path)
+    content = train(docs, path, id_column, width)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = documents(docs, id_column, "text").repartitionByRange(parts, id_column).sortWithinPartitions(id_column, "text")
 
