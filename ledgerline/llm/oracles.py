@@ -147,7 +147,7 @@ with item_words as (
 ), hits as (
     select s.doc_id, s.i, s.size, w.item_id from starts s join windows w on w.run = s.run and w.size = s.size
 ), hit_words as (
-    select doc_id, count(distinct at) as n from (select doc_id, unnest(range(i, i + size)) as at from hits) group by doc_id
+    select doc_id, count(distinct place) as n from (select doc_id, unnest(range(i, i + size)) as place from hits) group by doc_id
 ), hit_items as (
     select doc_id, count(*) as n, string_agg(item_id, ',' order by item_id) as listed from (select distinct doc_id, item_id from hits) group by doc_id
 )

@@ -1,7 +1,9 @@
 """Operators of the llm folder against plain restatements, on texts with every oddity."""
 
 import hashlib
+import math
 import random
+import time
 import zlib
 
 import brute
@@ -438,6 +440,128 @@ def test_url_rules(spark):
         assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, verdict or "allow")
 
 
+def below(a, b, x, steps=20_000):
+    """Share of a beta variable under x, by plain summation."""
+    area = total = 0.0
+    log = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+    for k in range(steps):
+        t = (k + 0.5) / steps
+        density = math.exp(log + (a - 1) * math.log(t) + (b - 1) * math.log(1 - t))
+        total += density
+        area += density if t < x else 0
+    return area / total
+
+
+def test_beta_bounds():
+    a, b = np.array([2.0, 30.0, 400.0, 1.5, 5.0]), np.array([3.0, 90.0, 1200.0, 1.5, 2.0])
+    for p in (0.05, 0.2, 0.5):
+        for x, y, q in zip(a, b, hosts.quantile(a, b, p)):
+            assert below(x, y, q) == pytest.approx(p, abs=2e-3)
+    assert list(hosts.quantile(np.array([0.0, 3.0]), np.array([3.0, 0.0]), 0.2)) == [0.0, 1.0]
+
+
+def plain_reputation(rows, labels):
+    """Verdict of each host, by the same law in plain loops."""
+    outcome = {h: [0, 0] for h, _ in rows}
+    for host, number in rows:
+        if number in labels:
+            outcome[host][0] += 1
+            outcome[host][1] += labels[number]
+
+    def summed(key):
+        found = {}
+        for host, (n, bad) in outcome.items():
+            have = found.setdefault(key(host), [0, 0])
+            have[0] += n
+            have[1] += bad
+        return found
+
+    def weight(children, prior):
+        def likelihood(w):
+            total = 0.0
+            for key, (n, bad) in children.items():
+                m = prior(key)
+                if n and 0 < m < 1:
+                    total += sum(math.lgamma(v) for v in (bad + m * w, n - bad + (1 - m) * w)) - math.lgamma(n + w)
+                    total -= math.lgamma(m * w) + math.lgamma((1 - m) * w) - math.lgamma(w)
+            return total
+
+        return max(hosts.WEIGHTS, key=lambda w: (round(likelihood(w), 9), w))
+
+    suffix, domain = (lambda h: h.split(".")[-1]), (lambda h: ".".join(h.split(".")[-2:]))
+    base = sum(b for _, b in outcome.values()) / max(1, sum(n for n, _ in outcome.values()))
+    suffixes = summed(suffix)
+    w = weight(suffixes, lambda k: base)
+    of_suffix = {k: (b + base * w) / (n + w) for k, (n, b) in suffixes.items()}
+    domains = summed(domain)
+    w = weight(domains, lambda k: of_suffix[suffix(k)])
+    of_domain = {k: (b + of_suffix[suffix(k)] * w) / (n + w) for k, (n, b) in domains.items()}
+    w = weight(outcome, lambda k: of_domain[domain(k)])
+    verdicts = {}
+    for host, (n, bad) in outcome.items():
+        m = of_domain[domain(host)]
+        verdicts[host] = bool(base > 0 and 1 - below(bad + m * w, n - bad + (1 - m) * w, base) > hosts.SURE)
+    return verdicts
+
+
+def test_verdicts_come_from_the_posterior(spark):
+    rng = random.Random(23)
+    rows, labels, urls = [], {}, []
+    for h in range(14):
+        host, rate = f"h{h}.site{h % 4}.{'org' if h % 2 else 'fr'}", rng.choice([0.05, 0.2, 0.6])
+        for _ in range(rng.randint(1, 40)):
+            number = len(rows)
+            rows.append((host, number))
+            urls.append((number, f"http://{host}/xx/{number}?a=1"))
+            if rng.random() < 0.7:
+                labels[number] = int(rng.random() < rate)
+    pages = spark.createDataFrame(urls + urls[:5], "page_id bigint, url string")
+    marks = spark.createDataFrame([(n, 1 - bad, 0) for n, bad in labels.items()] + [(None, 0, 1), (5, None, None)], "doc_id bigint, quality int, toxic int")
+    expected = plain_reputation(rows + rows[:5], labels)
+    got = {r.host: r.verdict == "block" for r in hosts.judge(pages.selectExpr("*", "1 as host", "2 as blocked"), marks).collect()}
+    assert got == expected and len(set(got.values())) == 2
+    kinder = hosts.judge(pages, marks, lift=100.0)
+    assert kinder.where("verdict = 'block'").count() == 0
+
+
+def test_registered_domains(spark):
+    urls = ["http://a.b.co.uk/x", "http://b.co.uk", "http://co.uk/", "http://www.example.com", "http://localhost/", None]
+    frame = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert [(r.domain, r.suffix) for r in hosts.parsed(frame).collect()] == [
+        ("b.co.uk", "co.uk"), ("b.co.uk", "co.uk"), ("co.uk", "co.uk"), ("example.com", "com"), ("localhost", "localhost"), ("", ""),
+    ]
+    assert [r.domain for r in hosts.parsed(frame, ()).collect()][:2] == ["co.uk", "co.uk"]
+
+
+def test_secrets_of_a_long_dump_take_linear_time():
+    rng = random.Random(3)
+    parts = (" password: {}", " {}", ' token="{}"')
+    text = "".join(rng.choice(parts).format("".join(rng.choices("ABCDEFabcdef0123456789+/", k=30))) for _ in range(110_000))
+    start = time.perf_counter()
+    found = credentials.find(text)
+    assert len(text) > 4_000_000 and len(found) > 50_000 and time.perf_counter() - start < 15
+    part = text[:20_000]
+    base = [(a, b) for k, a, b, _ in credentials.find(part) if k != "owned"]
+    for k, a, b, _ in credentials.find(part):
+        assert k != "owned" or not any(x < b and a < y for x, y in base)
+
+
+def test_ids_wider_than_the_files_are_refused():
+    ids = np.array([1, 70_000], "<u4").tobytes()
+    with pytest.raises(ValueError, match="70000"):
+        tokenfiles.narrow(ids, 2)
+    assert tokenfiles.narrow(ids, 4) == ids and tokenfiles.width_of(tokens.default_path()) == 2
+
+
+def test_packing_runs_to_its_gap_or_says_so(monkeypatch):
+    demand = np.zeros(256, np.int64)
+    demand[[40, 70, 90, 120, 130, 200]] = [31, 17, 23, 19, 11, 7]
+    packing.plan(demand, 256)
+    monkeypatch.setattr(packing, "STALLED", -1)
+    with pytest.raises(ArithmeticError, match="stalls"):
+        packing.plan(demand, 256)
+
+
 def test_reputation_blocks_bad_hosts_and_shrinks_small_ones(spark):
     pages, labels, n = [], [], 0
     for host, good, bad in (("bad.site.org", 10, 90), ("fine.site.org", 195, 5), ("new.site.org", 0, 1), ("calm.place.org", 300, 6), ("other.place.org", 100, 2)):
@@ -458,6 +582,7 @@ def test_empty_tables_give_typed_empty_results(spark, tmp_path, name):
     benchmark(spark, []).write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     frame = queries.QUERIES[name](spark, str(tmp_path))
     assert frame.collect() == [] and frame.columns
 
