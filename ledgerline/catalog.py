@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from . import schema
 from .functions import calendar, codes, markup, money, parse, text
 from .operators import marts, quality, serving, shred
-from .operators.dedup import insider_transactions, late_filings
+from .operators.dedup import amendments, insider_transactions, late_filings
 from .operators.staging import clean, stage
 from .plans import incremental
 from .plans.cache import ResultCache, version_of
@@ -37,6 +38,7 @@ SELECTED_QUARTERS = ("1996Q1", "1999Q3")
 SELECTED_MONTHS = ("1996-03", "1997-11")
 SELECTED_TICKERS = ("N1", "N2", "N7")
 FILINGS_PER_QUARTER = 100
+BUCKETS = 8
 
 
 def portable(frame: DataFrame) -> DataFrame:
@@ -209,6 +211,18 @@ def quarters_restricted(spark, folder):
     return landing.quarters_to_process(_years(spark, folder), QUARTERS_AS_OF, (1, 2))
 
 
+@query
+def pending_quarters(spark, folder):
+    """Listings of the quarters that are due and have not landed, read from index files of these quarters only."""
+    lines_root, landed_root = fresh_path(spark, "index"), fresh_path(spark, "raw")
+    index_lines(spark, folder).hint("rebalance", F.col("quarter")).write.partitionBy("quarter").text(lines_root)
+    tables.write_raw(raw(spark, folder).where(F.col("quarter") < "1997Q1"), landed_root)
+    due = landing.quarters_to_process(_years(spark, folder), QUARTERS_AS_OF)
+    due = due.select(calendar.quarter_label("year", "quarter").alias("quarter"))
+    waiting = landing.pending(due, landing.available_quarters(spark, landed_root))
+    return index.parse_index(landing.of_quarters(index.read_partitioned_lines(spark, lines_root), waiting))
+
+
 @query
 def index_join_documents(spark, folder):
     counted = filing_documents(spark, folder).select(
@@ -531,6 +545,12 @@ def int_transactions(spark, folder):
     return transactions(spark, folder)
 
 
+@query
+def amended_transactions(spark, folder):
+    """Transactions of amendments with the original they replace."""
+    return amendments(transactions(spark, folder))
+
+
 @query
 def dedup_counts(spark, folder):
     return tally(transactions(spark, folder), F.col("form_type"), F.col("buy_sell_flag"))
@@ -608,6 +628,24 @@ def activity_filtered(spark, folder):
     return serving.filter_activity(published(spark, folder).monthly, SELECTED_TICKERS, "Sell")
 
 
+@query
+def ticker_lookup(spark, folder):
+    """Transactions of one company from a table that skips row groups without it."""
+    root = fresh_path(spark, "lookup")
+    tables.write_for_lookups(published_transactions(spark, folder), root, ("issuer_ticker", "insider_name"))
+    found = spark.read.parquet(root).where(F.col("issuer_ticker") == SELECTED_TICKERS[0])
+    return found.groupBy("insider_name", "buy_sell_flag").agg(F.count(F.lit(1)).alias("rows"), money.exact_sum("transaction_value_usd").alias("total_value_usd"))
+
+
+@query
+def net_from_buckets(spark, folder):
+    """Net value of every company's month, from a table bucketed by company."""
+    totals = marts.monthly_totals(published_transactions(spark, folder))
+    name = "monthly_" + uuid.uuid4().hex
+    stored = tables.write_bucketed(totals, name, fresh_path(spark, "buckets"), ("issuer_ticker",), BUCKETS, ("issuer_ticker", "transaction_month_key"))
+    return marts.with_net(stored).select("issuer_ticker", "transaction_month_key", "net_sentiment_usd").distinct()
+
+
 @query
 def activity_months(spark, folder):
     """Chosen months of the stored table; the others are not opened."""

@@ -70,6 +70,34 @@ def insider_transactions(cleaned: DataFrame, keys: Sequence[str] = DEDUP_KEYS) -
     return enrich(title_names(deduplicate(cleaned, keys)))
 
 
+# What an amendment has in common with the filing it replaces.
+AMENDED_KEYS = ("issuer_cik", "insider_name", "transaction_date", "transaction_code")
+
+
+def amendments(transactions: DataFrame, keys: Sequence[str] = AMENDED_KEYS) -> DataFrame:
+    """Every transaction of a 4/A with the latest original transaction filed before it, or on its day, under the same keys.
+
+    Originals and amendments are one stream in order of filing; the original
+    last seen is carried on by a window, so nothing is compared pair by pair and
+    a hot key is one sorted run that spills. NULL keys belong together. Of
+    originals of one day the last by accession number, then by largest shares,
+    counts. Without an original the columns named ``original_`` are NULL.
+    """
+    amended = F.col("form_type") == schema.AMENDED_FORM
+    original = F.when(~amended, F.struct("accession_number", "filing_date", "transaction_shares", "transaction_value_usd"))
+    order = (F.col("filing_date").asc_nulls_first(), F.when(amended, 1).otherwise(0), "accession_number", "transaction_shares", "transaction_value_usd")
+    seen = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    linked = transactions.where(F.col("form_type").isNotNull()).withColumn("_original", F.last(original, ignorenulls=True).over(seen)).where(amended)
+    return linked.select(
+        "accession_number", *keys, "filing_date", "transaction_shares", "transaction_value_usd",
+        F.col("_original.accession_number").alias("original_accession_number"),
+        F.col("_original.filing_date").alias("original_filing_date"),
+        F.col("_original.transaction_shares").alias("original_shares"),
+        (F.col("transaction_value_usd") - F.col("_original.transaction_value_usd")).alias("value_change_usd"),
+        F.datediff("filing_date", F.col("_original.filing_date")).cast("bigint").alias("days_to_amend"),
+    )
+
+
 def late_filings(transactions: DataFrame, days: int = 2) -> DataFrame:
     """Transactions filed later than the ``days``-day rule allows."""
     return transactions.where(F.col("days_to_file") > days)

@@ -685,5 +685,32 @@ ORACLE = {
     "marts_after_overwrite": _after_overwrite(_out(_MONTHLY_COLUMNS, "monthly", "monthly")),
     "traders_after_overwrite": _after_overwrite(_out(_TRADER_FEED_COLUMNS, "traders", "traders")),
     "companies_after_overwrite": _after_overwrite(_out(_SENTIMENT_COLUMNS, "sentiment", "sentiment")),
+    "amended_transactions": _sql(
+        """SELECT accession_number, issuer_cik, insider_name, CAST(transaction_date AS VARCHAR) AS transaction_date, transaction_code,
+                  CAST(filing_date AS VARCHAR) AS filing_date, CAST(transaction_shares AS DOUBLE) AS transaction_shares, transaction_value_usd,
+                  o.accession_number AS original_accession_number, CAST(o.filing_date AS VARCHAR) AS original_filing_date,
+                  CAST(o.transaction_shares AS DOUBLE) AS original_shares,
+                  transaction_value_usd - o.transaction_value_usd AS value_change_usd, date_diff('day', o.filing_date, filing_date) AS days_to_amend
+           FROM (SELECT a.*, (SELECT struct_pack(filing_date := b.filing_date, accession_number := b.accession_number,
+                                                 transaction_shares := b.transaction_shares, transaction_value_usd := b.transaction_value_usd)
+                              FROM tx b WHERE b.form_type <> '4/A' AND b.filing_date <= a.filing_date
+                                AND b.issuer_cik IS NOT DISTINCT FROM a.issuer_cik AND b.insider_name IS NOT DISTINCT FROM a.insider_name
+                                AND b.transaction_date IS NOT DISTINCT FROM a.transaction_date AND b.transaction_code IS NOT DISTINCT FROM a.transaction_code
+                              ORDER BY b.filing_date DESC, b.accession_number DESC, b.transaction_shares DESC, b.transaction_value_usd DESC LIMIT 1) AS o
+                 FROM tx a WHERE a.form_type = '4/A')""",
+        "tx",
+    ),
+    "pending_quarters": _out(
+        _INDEX_COLUMNS,
+        """(SELECT * FROM index_rows WHERE quarter >= '1997Q1' AND quarter IN (
+               SELECT year || 'Q' || quarter FROM quarter_grid))""",
+        "index_rows", "quarter_grid",
+    ),
+    "ticker_lookup": _sql(
+        f"""SELECT insider_name, buy_sell_flag, count(*) AS rows, {_money('transaction_value_usd')} AS total_value_usd
+            FROM tx WHERE issuer_ticker = 'N1' GROUP BY ALL""",
+        "tx",
+    ),
+    "net_from_buckets": _sql("SELECT DISTINCT issuer_ticker, transaction_month_key, net_sentiment_usd FROM monthly", "monthly"),
     "cached_feed": _out(_SENTIMENT_COLUMNS, "(SELECT * FROM sentiment ORDER BY abs(net_value_usd) DESC, issuer_ticker, issuer_name LIMIT 100)", "sentiment"),
 }

@@ -70,6 +70,32 @@ def write_monthly(monthly: DataFrame, root: str) -> None:
     ).parquet(root)
 
 
+def write_bucketed(frame: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int, sort: Sequence[str] = ()) -> DataFrame:
+    """``frame`` as table ``name`` with its files at ``path``, hashed by ``keys`` into buckets and sorted within them.
+
+    Windows, aggregates and joins by these keys, or by more columns, then read
+    what belongs together from one bucket and need no exchange. Rows are dealt
+    by the same keys first, so every bucket is one file. ``buckets`` should make
+    them of a few hundred megabytes each.
+    """
+    spark = frame.sparkSession
+    dealt = frame.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*(sort or keys)).saveAsTable(name)
+    return spark.table(name)
+
+
+def write_for_lookups(frame: DataFrame, root: str, columns: Sequence[str]) -> None:
+    """``frame`` for point lookups by any of ``columns``: a Bloom filter of each in every row group, rows sorted by the first.
+
+    A reader skips the row groups whose range or filter does not hold the value
+    asked for. Range partitions make the files disjoint in the first column.
+    """
+    writer = frame.repartitionByRange(columns[0]).sortWithinPartitions(*columns).write.mode("overwrite")
+    for column in columns:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.parquet(root)
+
+
 def write_table(frame: DataFrame, root: str) -> None:
     frame.write.mode("overwrite").parquet(root)
 

@@ -28,6 +28,20 @@ def available_quarters(spark: SparkSession, root: str) -> DataFrame:
     return names.where(F.col("quarter") != "").distinct().orderBy("quarter")
 
 
+def pending(due: DataFrame, landed: DataFrame) -> DataFrame:
+    """Quarters ``due`` (a column quarter) that have not ``landed``."""
+    return due.select("quarter").distinct().join(landed.select("quarter"), "quarter", "left_anti")
+
+
+def of_quarters(partitioned: DataFrame, quarters: DataFrame) -> DataFrame:
+    """Rows of the quarters that a table names.
+
+    ``partitioned`` is read by quarter; Spark finds the quarters at run time and
+    lists no file of any other (dynamic partition pruning).
+    """
+    return partitioned.join(quarters.select("quarter"), "quarter", "left_semi")
+
+
 def quarters_to_process(
     years: DataFrame, as_of: dt.date, quarters: Iterable[int] | None = None
 ) -> DataFrame:

@@ -105,3 +105,63 @@ def test_filters_reach_the_stored_tables(spark, tmp_path):
     plan = plan_of(serving.filter_activity(stored.monthly, ["ACM"], "Buy", ["2024-03"]))
     assert "PartitionFilters: [isnotnull(transaction_month_key" in plan and "EqualTo(issuer_ticker,ACM)" in plan
     assert "LessThanOrEqual(rank_by_value,50)" in plan_of(serving.trader_feed(stored.traders))
+
+
+def scanned_rows(frame) -> int:
+    """Rows that the scan of a finished query without exchanges gave on."""
+    frame._jdf.collectToPython()
+    leaf = frame._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return leaf.metrics().apply("numOutputRows").value()
+
+
+def test_lookups_skip_row_groups(spark, tmp_path):
+    plain, lookup = str(tmp_path / "plain"), str(tmp_path / "lookup")
+    rows = spark.range(60_000).selectExpr(
+        "concat('t', id % 300) as issuer_ticker", "concat('owner ', id % 2999 * 2) as insider_name", "repeat(string(id), 5) as filling"
+    )
+    spark._jsc.hadoopConfiguration().set("parquet.block.size", "65536")
+    try:
+        tables.write_for_lookups(rows, lookup, ("issuer_ticker", "insider_name"))
+        tables.write_table(rows, plain)
+    finally:
+        spark._jsc.hadoopConfiguration().unset("parquet.block.size")
+    for root, least, most in ((plain, 60_000, 60_000), (lookup, 200, 12_000)):
+        found = spark.read.parquet(root).where("issuer_ticker = 't7'")
+        assert least <= scanned_rows(found) <= most and found.count() == 200
+    # within the range of every row group, but in no Bloom filter
+    absent = spark.read.parquet(lookup).where("insider_name = 'owner 1'")
+    assert scanned_rows(absent) < 30_000 and absent.count() == 0
+    assert scanned_rows(spark.read.parquet(plain).where("insider_name = 'owner 1'")) == 60_000
+
+
+def test_bucketed_tables_need_no_exchange(spark, tmp_path):
+    totals = marts.monthly_totals(insider_transactions(clean(landed(spark, tmp_path))))
+    stored = tables.write_bucketed(totals, "bucketed_months", str(tmp_path / "buckets"), ("issuer_ticker",), 3, ("issuer_ticker", "transaction_month_key"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        net = plan_of(marts.with_net(stored))
+        joined = plan_of(stored.alias("a").join(stored.alias("b"), "issuer_ticker"))
+        plain = plan_of(marts.with_net(totals))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in net and "Window" in net and "Exchange" not in joined and "Exchange" in plain
+    assert sorted(map(str, marts.with_net(stored).select(sorted(stored.columns)).collect())) == sorted(map(str, marts.with_net(totals).select(sorted(stored.columns)).collect()))
+    spark.sql("drop table bucketed_months")
+
+
+def test_pending_quarters_are_pruned_at_run_time(spark, tmp_path):
+    lines, raw = str(tmp_path / "lines"), str(tmp_path / "raw")
+    line = f"{'Co':62}{'4':12}{'7':12}{'2024-01-02':12}edgar/1/a1.txt"
+    spark.createDataFrame([(line, q) for q in ("2023Q3", "2023Q4", "2024Q1", "2024Q2")], "value string, quarter string").write.partitionBy("quarter").text(lines)
+    tables.write_raw(raw_rows(spark, {"quarter": "2023Q3"}, {"quarter": "2024Q2"}), raw)
+    due = spark.createDataFrame([(q,) for q in ("2023Q3", "2024Q1", "2024Q4")], "quarter string").where("quarter < '2024Q4'")
+    waiting = landing.pending(due, landing.available_quarters(spark, raw))
+    rows = landing.of_quarters(index.read_partitioned_lines(spark, lines), waiting)
+    assert "dynamicpruning" in plan_of(rows).lower()
+    assert [r.quarter for r in index.parse_index(rows).collect()] == ["2024Q1"]
+
+
+def test_refresh_filters_partitions(spark, tmp_path):
+    landed(spark, tmp_path)
+    some = landing.read_raw(spark, str(tmp_path / "raw"), ["2024Q2"])
+    assert "PartitionFilters: [isnotnull(quarter" in plan_of(some) and some.count() == 1

@@ -5,7 +5,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.operators import marts, serving
-from ledgerline.operators.dedup import insider_transactions, late_filings
+from ledgerline.operators.dedup import amendments, insider_transactions, late_filings
 from ledgerline.operators.ranking import with_ranks
 from ledgerline.operators.staging import clean, stage
 from ledgerline.plans.warehouse import build, open_marts
@@ -162,3 +162,37 @@ def test_absurd_share_counts_do_not_end_the_marts(spark):
     assert marts.monthly_activity(rows).first().total_shares is None
     assert marts.company_sentiment(rows).first().total_buy_shares is None
     assert marts.top_traders(rows).count() == 12
+
+
+def test_amendments_find_the_last_original_before_them(spark):
+    def day(n):
+        return dt.date(2024, 3, n)
+
+    rows = transactions(
+        spark,
+        {"accession_number": "o1", "filing_date": day(2), "transaction_shares": 10.0},
+        {"accession_number": "o2", "filing_date": day(4), "transaction_shares": 20.0},
+        {"accession_number": "o3", "filing_date": day(4), "transaction_shares": 30.0},
+        {"accession_number": "o9", "filing_date": day(9), "transaction_shares": 90.0},
+        {"accession_number": "early", "form_type": "4/A", "filing_date": day(1)},
+        {"accession_number": "same", "form_type": "4/A", "filing_date": day(2)},
+        {"accession_number": "later", "form_type": "4/A", "filing_date": day(6), "transaction_shares": 31.0},
+        {"accession_number": "again", "form_type": "4/A", "filing_date": day(7)},
+        {"accession_number": "other", "form_type": "4/A", "filing_date": day(7), "reporting_owner_name": "someone else"},
+        {"accession_number": "nobody's", "form_type": "4/A", "filing_date": day(7), "issuer_cik": None},
+        {"accession_number": "nobody's own", "filing_date": day(5), "issuer_cik": None},
+    )
+    found = {r.accession_number: r for r in amendments(rows).collect()}
+    assert {a: r.original_accession_number for a, r in found.items()} == {
+        "early": None, "same": "o1", "later": "o3", "again": "o3", "other": None, "nobody's": "nobody's own",
+    }
+    assert (found["later"].days_to_amend, found["later"].value_change_usd, found["early"].days_to_amend) == (2, 2.5, None)
+
+
+def test_a_hot_key_of_amendments_is_one_pass(spark):
+    base = raw_rows(spark, {}).drop("accession_number", "form_type")
+    raw = spark.range(20_000).join(base).selectExpr(
+        "concat('x', lpad(id, 6, '0')) as accession_number", "if(id % 2 = 1, '4/A', '4') as form_type", *base.columns
+    )
+    linked = amendments(insider_transactions(clean(raw)))
+    assert linked.count() == 10_000 and linked.where("original_accession_number is null").count() == 0
