@@ -17,6 +17,8 @@ TAKEN = 2  # k-mers a component is made of
 COMPONENTS = 64
 # Positions hashed for all components at a time: 64 x 2048 32-bit numbers stay in a core's cache.
 CHUNK = 2048
+# Text of one range of documents, which is one task.
+RANGE_BYTES = 16 << 20
 _MIN32 = np.uint32(0xFFFFFFFF)
 
 _rng = np.random.default_rng(2048)
@@ -105,7 +107,7 @@ def edited(text: str, following: str) -> str:
 def borders(docs: DataFrame, id_column: str, parts: int) -> list[int]:
     """Ids that cut the table into about ``parts`` equal ranges; from a pass over ids alone."""
     shares = [i / parts for i in range(1, parts)]
-    found = docs.select(F.percentile_approx(id_column, shares, 10_000).alias("p")).first().p if shares else None
+    found = docs.select(F.percentile_approx(id_column, shares, max(10_000, 4 * parts)).alias("p")).first().p if shares else None
     return sorted(set(found or []))
 
 
@@ -115,13 +117,15 @@ def with_next(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     The next document is the one of the next larger id (null ids first,
     repeated ids by text), after the last the first. Documents go to ranges of
     ids once; the document on which a range begins is also sent to the range
-    before, and the first to the last range, so neighbours always meet. A null
-    text is empty. A single document is its own next. Integer ids.
+    before, and the first to the last range, so neighbours always meet. There
+    are as many ranges as the texts fill of RANGE_BYTES, each a task of its own.
+    A null text is empty. A single document is its own next. Integer ids.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = np.array(borders(docs, id_column, parts), np.int64)
-    least = docs.select(F.min(F.struct(F.col(id_column).isNotNull(), F.col(id_column))).alias("m")).first().m
-    first = None if least is None else least[1]
+    known = docs.select(
+        F.min(F.struct(F.col(id_column).isNotNull(), F.col(id_column))).alias("least"), F.sum(F.octet_length("text")).alias("bytes")
+    ).first()
+    cuts = np.array(borders(docs, id_column, max(1, -(-(known["bytes"] or 0) // RANGE_BYTES))), np.int64)
+    first = None if known["least"] is None else known["least"][1]
     last_range = len(cuts)
     source = documents(docs, id_column, "text")
     kind = source.schema[id_column].dataType.simpleString()
@@ -141,7 +145,7 @@ def with_next(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), pa.array(rank, pa.int32()), *taken.columns], ["_range", "_rank", id_column, "text"])
 
     dealt = arrow_map(source, deal, f"_range int, _rank int, `{id_column}` {kind}, text binary")
-    ordered = dealt.repartition(parts, "_range").sortWithinPartitions("_range", "_rank", id_column, "text")
+    ordered = dealt.repartitionById(last_range + 1, "_range").sortWithinPartitions("_range", "_rank", id_column, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # (range, id, text, fingerprint) that waits for the next row
@@ -150,7 +154,7 @@ def with_next(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
             for place, rank, document, raw in zip(batch.column("_range").to_pylist(), batch.column("_rank").to_pylist(), batch.column(id_column).to_pylist(), texts_of(batch)):
                 if held is None and rank == 2:
                     continue  # a further copy of the neighbour
-                text = raw.decode()
+                text = raw.decode("utf-8", "replace")
                 print_ = fingerprint(text)
                 if held is not None:
                     out.append(compared(held, text, print_))

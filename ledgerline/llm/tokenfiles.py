@@ -34,6 +34,8 @@ TRAILER = struct.Struct("<QQB32s8s")
 TRAINING_DOCUMENTS, TRAINING_CHARACTERS = 1000, 8192
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
+# Text behind one file.
+FILE_BYTES = 32 << 20
 # Bytes of frames a reader fetches at a time.
 BLOCK = 4 << 20
 
@@ -164,7 +166,7 @@ def write(docs: DataFrame, folder: str, id_column: str = "doc_id", tokenizer: st
     """Token files of all documents under ``folder`` and their manifest (part, path, documents, tokens).
 
     Documents are ordered by id over the files (null ids first, repeated ids by
-    text); ``width`` is the bytes of an id, by default as many as the vocabulary needs. Every document ends with id 1; a
+    text), and there are as many files as the texts fill of FILE_BYTES; ``width`` is the bytes of an id, by default as many as the vocabulary needs. Every document ends with id 1; a
     null text has only that. A repeated task writes a file of another name,
     and the manifest names those of the tasks that counted. ``folder`` must be
     one that Arrow's file systems reach from every executor.
@@ -172,7 +174,8 @@ def write(docs: DataFrame, folder: str, id_column: str = "doc_id", tokenizer: st
     path = tokenizer or default_path()
     width = width or width_of(path)
     content = train(docs, path, id_column, width)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.select(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
+    parts = max(1, -(-size // FILE_BYTES))
     ordered = documents(docs, id_column, "text").repartitionByRange(parts, id_column).sortWithinPartitions(id_column, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
