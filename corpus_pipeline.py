@@ -1,4 +1,13 @@
-"""Corpus preparation: toxic documents out, near copies out, benchmark text out, secrets masked, the rest packed."""
+"""Corpus preparation: toxic documents out, near copies out, benchmark text out, secrets masked, the rest packed.
+
+Every stage but the last returns the columns it was given, in their order, and
+all of a document's other columns unchanged, extra ones of any name included.
+Null and empty texts are kept by all stages (they score below any limit, are
+near to nothing, hold neither benchmark words nor secrets) and pack as their end
+id. Rows without id are kept; rows of one id count as copies of one document in
+the near-duplicate stage and as separate ones elsewhere. Texts of any length are
+taken whole. Empty tables give empty results.
+"""
 
 from __future__ import annotations
 
