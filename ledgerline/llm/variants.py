@@ -79,7 +79,7 @@ def _turned(vocabulary: DataFrame) -> DataFrame:
 
 
 def _edges(turned: DataFrame) -> DataFrame:
-    """Edges ``(node, char) -> child`` below TOP, cut where a node has a single word.
+    """Edges ``(node, char) -> child`` below TOP.
 
     ``only`` is the word below a child that has no other; ``above`` and
     ``through`` are the node and character one level higher.
@@ -119,17 +119,22 @@ def _started(turned: DataFrame, edges: DataFrame) -> DataFrame:
     deleted = edges.select(F.col("node").alias("from"), F.col("char").alias("next"), F.lit(None).cast("string").alias("by"), "child", "only")
     moved = places.join(replaced.unionByName(deleted), ["from", "next"])
     right = F.when(F.col("by").isNull(), F.col("last")).otherwise((F.col("by") > F.col("own")) & (F.col("by") != END))
-    return moved.where(right).select(
+    return _standing(moved.where(right).select(
         "turned", "back", (at + 2).alias("at"), F.col("child").alias("node"), "only", F.col("by").isNull().alias("shorter")
-    )
+    ))
+
+
+def _standing(states: DataFrame) -> DataFrame:
+    """States that may still end, and those with one word left below them if that word is indeed a neighbour."""
+    sizes = F.length("turned") - F.length("only") == F.col("shorter").cast("int")
+    return states.where(F.col("only").isNull() | (sizes & (F.levenshtein("turned", "only", 1) == 1)))
 
 
 def _ended(states: DataFrame) -> DataFrame:
-    """Candidate pairs of states with one word left below them."""
-    straight = [F.when(F.col("back"), F.reverse(F.regexp_replace(c, END, ""))).otherwise(F.regexp_replace(c, END, "")) for c in ("turned", "only")]
-    pairs = states.where(F.col("only").isNotNull()).select(straight[0].alias("word"), straight[1].alias("other"), "shorter")
-    sizes = F.length("word") - F.length("other") == F.col("shorter").cast("int")
-    return pairs.where(sizes & (F.levenshtein("word", "other", 1) == 1)).select("word", "other")
+    """Pairs of states that have come to their neighbour, turned back and without the mark."""
+    bare = {c: F.substring(F.col(c), F.lit(1), F.length(c) - 1) for c in ("turned", "only")}
+    straight = {c: F.when(F.col("back"), F.reverse(b)).otherwise(b) for c, b in bare.items()}
+    return states.where(F.col("only").isNotNull()).select(straight["turned"].alias("word"), straight["only"].alias("other"))
 
 
 def trie_pairs(vocabulary: DataFrame) -> DataFrame:
@@ -143,7 +148,7 @@ def trie_pairs(vocabulary: DataFrame) -> DataFrame:
         if living.isEmpty():
             return found
         stepped = living.drop("only").withColumn("char", _char("turned", F.col("at"))).join(edges.select("node", "char", "child", "only"), ["node", "char"])
-        states = written(stepped.select("turned", "back", (F.col("at") + 1).alias("at"), F.col("child").alias("node"), "only", "shorter"), "states")
+        states = written(_standing(stepped.select("turned", "back", (F.col("at") + 1).alias("at"), F.col("child").alias("node"), "only", "shorter")), "states")
         found = found.unionByName(_ended(states))
     return found
 
