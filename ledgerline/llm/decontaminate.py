@@ -4,96 +4,19 @@ from __future__ import annotations
 
 import uuid
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, GOLDEN, M1, U64, Words, arrow_map, documents, mix, slices, texts_of
-
-WINDOW = 10
-
-# Bytes of benchmark text one automaton is built from; more text makes more automata.
-AUTOMATON_BYTES = 8 << 20
-
-
-class Automaton:
-    """Every run of words of the items, with the items whose windows end in each state."""
-
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW) -> None:
-        self.window = window
-        self.ids: dict[bytes, int] = {}
-        self.next: list[dict[int, int]] = [{}]
-        self.link, self.length = [-1], [0]
-        coded = [(item, [self.ids.setdefault(w, len(self.ids)) for w in words]) for item, words in items if words]
-        for _, codes in coded:
-            last = 0
-            for code in codes:
-                last = self._extend(last, code)
-        self.sizes = sorted({min(window, len(codes)) for _, codes in coded}, reverse=True)
-        self.owners: dict[tuple[int, int], set[str]] = defaultdict(set)
-        for item, codes in coded:
-            size, state = min(window, len(codes)), 0
-            for i, code in enumerate(codes):
-                state = self.next[state][code]
-                if i + 1 >= size:
-                    self.owners[size, self._class(state, size)].add(item)
-        self.shortest = self.sizes[-1] if self.sizes else 0
-
-    def _new(self, length: int, arcs: dict[int, int], link: int) -> int:
-        self.next.append(arcs)
-        self.length.append(length)
-        self.link.append(link)
-        return len(self.next) - 1
-
-    def _split(self, state: int, code: int, target: int) -> int:
-        copy = self._new(self.length[state] + 1, dict(self.next[target]), self.link[target])
-        self.link[target] = copy
-        while state >= 0 and self.next[state].get(code) == target:
-            self.next[state][code] = copy
-            state = self.link[state]
-        return copy
-
-    def _extend(self, last: int, code: int) -> int:
-        target = self.next[last].get(code)
-        if target is not None:
-            return target if self.length[target] == self.length[last] + 1 else self._split(last, code, target)
-        new, state = self._new(self.length[last] + 1, {}, 0), last
-        while state >= 0 and code not in self.next[state]:
-            self.next[state][code] = new
-            state = self.link[state]
-        if state >= 0:
-            target = self.next[state][code]
-            self.link[new] = target if self.length[target] == self.length[state] + 1 else self._split(state, code, target)
-        return new
-
-    def _class(self, state: int, size: int) -> int:
-        """The state that holds the last ``size`` words of ``state``."""
-        while self.length[self.link[state]] >= size:
-            state = self.link[state]
-        return state
-
-    def stream(self, words: list[bytes]) -> Iterator[tuple[int, int, set[str]]]:
-        """(position, window length, items) for every window that ends at a word."""
-        state = matched = 0
-        for i, word in enumerate(words):
-            code = self.ids.get(word)
-            if code is None:
-                state = matched = 0
-                continue
-            while state and code not in self.next[state]:
-                state = self.link[state]
-                matched = self.length[state]
-            if code in self.next[state]:
-                state = self.next[state][code]
-                matched += 1
-            else:
-                matched = 0
-            for size in self.sizes:
-                if matched >= size and (items := self.owners.get((size, self._class(state, size)))):
-                    yield i, size, items
+from . import windows
+from .automaton import AUTOMATON_BYTES, WINDOW, Automaton
+from .common import ALNUM, GOLDEN, M1, U64, Words, arrow_map, documents, fresh, mix, slices, texts_of
+
+# Bytes of benchmark text up to which its automata go to every worker; of a larger one, each group of items stays with its task.
+SHIPPED_BYTES = 4 << 20
 
 
 class _Neighbours:
@@ -167,6 +90,51 @@ def prepared(key: str, shared: list, window: int) -> list[tuple[Automaton, _Neig
     return _made[key]
 
 
+# Hit words of each text of a batch (a flag a word, with one false before and after), and the items that hit it.
+Hits = tuple[dict[int, np.ndarray], dict[int, set[str]]]
+
+
+def _flags(hits: dict[int, np.ndarray], words: Words, text: int) -> np.ndarray:
+    if text not in hits:
+        hits[text] = np.zeros(words.bounds[text + 1] - words.bounds[text] + 2, bool)
+    return hits[text]
+
+
+def _by_shipped(source: DataFrame, benchmark: DataFrame, window: int) -> Callable[[pa.RecordBatch, Words], Hits]:
+    shared = [source.sparkSession.sparkContext.broadcast(g) for g in read_items(benchmark)]  # SHIPPED_BYTES of text at most
+    key = uuid.uuid4().hex
+
+    def find(batch: pa.RecordBatch, words: Words) -> Hits:
+        hits: dict[int, np.ndarray] = {}
+        items: dict[int, set[str]] = defaultdict(set)
+        for automaton, near in prepared(key, shared, window):
+            for text, first, last in near.runs(words, automaton.shortest):
+                for i, size, owners in automaton.stream([words.word(k) for k in range(first, last)]):
+                    end = first + i + 1 - words.bounds[text]
+                    _flags(hits, words, text)[end - size + 1 : end + 1] = True
+                    items[text] |= owners
+        return hits, items
+
+    return find
+
+
+def _by_windows(source: DataFrame, benchmark: DataFrame, size: int, window: int) -> tuple[DataFrame, Callable[[pa.RecordBatch, Words], Hits]]:
+    digest, found = (fresh(name, source.columns) for name in ("digest", "found"))
+    hits = windows.hits(source, benchmark, size, window).select(F.col("digest").alias(digest), F.struct("spans", "items").alias(found))
+
+    def find(batch: pa.RecordBatch, words: Words) -> Hits:
+        hits: dict[int, np.ndarray] = {}
+        items: dict[int, set[str]] = {}
+        for text, value in enumerate(batch.column(found).to_pylist()):
+            if value:
+                items[text] = set(value["items"])
+                for span in value["spans"]:
+                    _flags(hits, words, text)[span["start"] + 1 : span["end"] + 1] = True
+        return hits, items
+
+    return source.withColumn(digest, F.sha2("text", 256)).join(hits, digest, "left"), find
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", window: int = WINDOW, clean: bool = False,
          keep: tuple[str, ...] = (), prefix: str = "") -> DataFrame:
     """Hits of every document against every item.
@@ -174,33 +142,27 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", windo
     Result: id, ``keep`` columns and, named with ``prefix``, n_words, n_hit, items (sorted array of ids as
     strings), spans (array of character [start, end) of the hit stretches) and,
     if ``clean``, ``cleaned``: the text without them. One row per input row, in
-    one pass without a shuffle. A null or empty text has no words; an item of
-    fewer than ``window`` words is one window; items without words, and an
-    empty benchmark, hit nothing; repeated items count once by id. Item text
-    goes to the executors as automata of at most AUTOMATON_BYTES of text each.
+    one pass without a shuffle if the benchmark has up to SHIPPED_BYTES of text;
+    its automata then go to every worker. Of a larger benchmark neither driver
+    nor worker holds more than a group: see ``windows``. A null or empty text
+    has no words; an item of fewer than ``window`` words is one window; items
+    without words, and an empty benchmark, hit nothing; repeated items count
+    once by id.
     """
     kept = [c for c in dict.fromkeys((id_column, *keep)) if c != "text"]
     source = documents(docs, *kept, "text")
     types = {f.name: f.dataType.simpleString() for f in source.schema.fields}
-    groups = read_items(benchmark)
-    spark = docs.sparkSession
-    shared = [spark.sparkContext.broadcast(g) for g in groups]
-    key = uuid.uuid4().hex
+    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size <= SHIPPED_BYTES:
+        find = _by_shipped(source, benchmark, window)
+    else:
+        source, find = _by_windows(source, benchmark, size, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts = texts_of(batch)
             words = Words(texts, ALNUM)
-            hits: dict[int, np.ndarray] = {}
-            items: dict[int, set[str]] = defaultdict(set)
-            for automaton, near in prepared(key, shared, window):
-                for text, first, last in near.runs(words, automaton.shortest):
-                    for i, size, owners in automaton.stream([words.word(k) for k in range(first, last)]):
-                        if text not in hits:
-                            hits[text] = np.zeros(words.bounds[text + 1] - words.bounds[text] + 2, bool)
-                        end = first + i + 1 - words.bounds[text]
-                        hits[text][end - size + 1 : end + 1] = True  # shifted by one for the edges below
-                        items[text] |= owners
+            hits, items = find(batch, words)
             counts, named, spans, cleaned = [], [], [], []
             for text, raw in enumerate(texts):
                 hit = hits.get(text)
