@@ -3,6 +3,7 @@
 from helpers import plan_of, raw_rows
 from pyspark.sql import functions as F
 
+from ledgerline import schema
 from ledgerline.operators import marts, serving
 from ledgerline.operators.dedup import insider_transactions
 from ledgerline.operators.shred import shred_filings
@@ -166,3 +167,11 @@ def test_refresh_filters_partitions(spark, tmp_path):
     landed(spark, tmp_path)
     some = landing.read_raw(spark, str(tmp_path / "raw"), ["2024Q2"])
     assert "PartitionFilters: [isnotnull(quarter" in plan_of(some) and some.count() == 1
+
+
+def test_ranks_read_totals_that_were_made_once(spark):
+    rows = insider_transactions(clean(spark.createDataFrame([], schema.RAW)))
+    for ranked, label in ((marts.top_traders(rows), "trader-totals"), (marts.company_sentiment(rows), "company-totals")):
+        plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+        assert "transaction_code" not in plan and ranked.count() == 0
+        assert any(label in name for name in ranked.inputFiles())
