@@ -27,6 +27,19 @@ def test_dedup_drops_copies_before_its_only_shuffle(spark, tmp_path):
     assert "WindowGroupLimit" in before and "Partial" in before
 
 
+def test_what_a_code_says_is_not_shuffled_while_copies_are_dropped(spark, tmp_path):
+    rows = insider_transactions(clean(landed(spark, tmp_path)))
+    plan = plan_of(rows)
+    before = plan[plan.index("Exchange"):]
+    assert "transaction_code" in before and "transaction_type" not in before and "buy_sell_flag" not in before
+    assert [(row.transaction_type, row.buy_sell_flag) for row in rows.collect()] == [("Purchase", "Buy")] * 2
+
+
+def test_codes_are_trimmed_once_and_looked_up_in_a_step_of_their_own(spark, tmp_path):
+    cleaned = clean(landed(spark, tmp_path)).select("transaction_code", "transaction_type", "buy_sell_flag")
+    assert plan_of(cleaned).count("trim(trim(transaction_code") == 1
+
+
 def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     raw = landed(spark, tmp_path)
     plan = plan_of(stage(raw.where(F.col("quarter") == "2024Q1")).select("issuer_ticker", "buy_sell_flag"))
