@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from helpers import evaluated
+from helpers import evaluated, plan_of
 from pyspark.sql import functions as F
 
 from ledgerline.functions import calendar, codes, markup, money, parse, text
@@ -28,6 +28,20 @@ def test_tag_value(spark):
     assert evaluated(spark, list(cases), lambda v: markup.tag_value(v, "issuerName")) == list(cases.values())
 
 
+def test_long_and_broken_markup(spark):
+    cases = {
+        "<a>" + "<i>y" * 50_000 + "</A>": "<i>y" * 50_000, "<a>" * 20_000: "", "<" * 100_000 + "<ab c>x</a></a>": "x",
+        "<a\n>x<a>y</a>": "x<a>y", "</a><a >x</a": "", "<a <b>x</a>": "x",
+    }
+    assert evaluated(spark, list(cases), lambda v: markup.tag_inner(v, "a")) == list(cases.values())
+    assert evaluated(spark, ["<a>x<a>y</a></a><A>\n</a><a>z"], lambda v: markup.blocks(v, "a")) == [["x<a>y", "\n"]]
+
+
+def test_tags_are_found_without_trying_every_character(spark):
+    plan = plan_of(spark.range(1).selectExpr("string(id) as v").select(markup.tag_inner("v", "a"), markup.blocks("v", "a")))
+    assert ".*?" not in plan
+
+
 def test_blocks(spark):
     got = evaluated(spark, ["<b>1</b>x<B>\n2</B>", "<b a='1'>no</b>", "none"], lambda v: markup.blocks(v, "b"))
     assert got == [["1", "\n2"], [], []]
