@@ -8,6 +8,7 @@ from ledgerline.operators import marts, serving
 from ledgerline.operators.dedup import insider_transactions
 from ledgerline.operators.shred import shred_filings
 from ledgerline.operators.staging import clean, stage
+from ledgerline.session import OPEN_FILES, SPLIT, bounded_tasks
 from ledgerline.sinks import tables
 from ledgerline.plans.ingest import ingest
 from ledgerline.plans.warehouse import build, open_marts
@@ -188,3 +189,35 @@ def test_ranks_read_totals_that_were_made_once(spark):
         plan = ranked._jdf.queryExecution().optimizedPlan().toString()
         assert "transaction_code" not in plan and ranked.count() == 0
         assert any(label in name for name in ranked.inputFiles())
+
+
+def test_states_of_the_monthly_table_are_made_behind_a_shuffle_of_plain_rows(spark, tmp_path):
+    root = str(tmp_path / "transactions")
+    tables.write_table(insider_transactions(clean(landed(spark, tmp_path))), root)
+    stored = spark.read.parquet(root)
+    plan = plan_of(marts.filing_months(stored))
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan[plan.index("Exchange"):]
+    assert marts.filing_months(stored).count() == 2
+
+
+def test_tables_are_made_by_bounded_tasks_and_settings_come_back(spark, tmp_path):
+    splits, writers = "spark.sql.files.maxPartitionBytes", "spark.sql.maxConcurrentOutputFileWriters"
+    before = [spark.conf.get(key, None) for key in (splits, writers)]
+    with bounded_tasks(spark):
+        seen = [int(spark.conf.get(key)) for key in (splits, writers)]
+    assert seen == [SPLIT, OPEN_FILES] and [spark.conf.get(key, None) for key in (splits, writers)] == before
+    spark.conf.set(splits, "1m")
+    try:
+        with bounded_tasks(spark):
+            assert int(spark.conf.get(splits)) == 2**20
+        assert spark.conf.get(splits) == "1m"
+    finally:
+        spark.conf.unset(splits) if before[0] is None else spark.conf.set(splits, before[0])
+
+
+def test_landed_quarters_are_whole_and_packed(spark, tmp_path):
+    quarters = [f"{year}Q{quarter}" for year in range(2018, 2024) for quarter in range(1, 5)]
+    rows = raw_rows(spark, *[{"quarter": quarter} for quarter in quarters * 20])
+    tables.write_raw(rows, str(tmp_path / "many"))
+    assert sorted(row.quarter for row in landing.read_raw(spark, str(tmp_path / "many")).collect()) == sorted(quarters * 20)
+    assert all("zstd" in path.name for path in (tmp_path / "many").glob("quarter=*/*.parquet"))
