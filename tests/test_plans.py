@@ -1,15 +1,19 @@
 """The physical plans the jobs rely on."""
 
+import datetime as dt
+import re
+
 from helpers import plan_of, raw_rows
 from pyspark.sql import functions as F
 
 from ledgerline import schema
 from ledgerline.operators import marts, serving
-from ledgerline.operators.dedup import insider_transactions
+from ledgerline.operators.dedup import by_filing, insider_transactions
 from ledgerline.operators.shred import shred_filings
 from ledgerline.operators.staging import clean, stage
 from ledgerline.session import OPEN_FILES, SPLIT, bounded_tasks
 from ledgerline.sinks import tables
+from ledgerline.plans import incremental
 from ledgerline.plans.ingest import ingest
 from ledgerline.plans.warehouse import build, open_marts
 from ledgerline.sources import documents, index, landing
@@ -28,6 +32,34 @@ def test_dedup_drops_copies_before_its_only_shuffle(spark, tmp_path):
     assert "WindowGroupLimit" in before and "Partial" in before
 
 
+def test_stored_transactions_are_dealt_by_filing_once(spark, tmp_path):
+    rows = insider_transactions(clean(by_filing(landed(spark, tmp_path))))
+    plan = plan_of(rows)
+    assert plan.count("Exchange") == 1 and "WindowGroupLimit" in plan
+    assert re.search(r"Exchange hashpartitioning\(accession_number#\d+, \d+\)", plan)
+    moved = plan[plan.index("Exchange"):]
+    assert "company_name" not in moved and "cast(transaction_shares" not in moved and "IsNotNull(transaction_code)" in moved
+
+
+def test_dealt_by_filing_the_same_rows_are_kept(spark, tmp_path):
+    copies = [{"accession_number": f"a{i % 3}", "cik": str(i), "transaction_code": code} for i in range(12) for code in ("P", " s", None)]
+    raw = raw_rows(spark, *copies, {"accession_number": "a0", "form_type": "4/A"}, {"accession_number": "a1", "transaction_shares": 1e31})
+    plain, dealt = (insider_transactions(clean(rows)).collect() for rows in (raw, by_filing(raw)))
+    assert sorted(map(str, dealt)) == sorted(map(str, plain)) and len(dealt) == 7
+    build(raw, str(tmp_path / "marts"))
+    assert sorted(map(str, spark.read.parquet(str(tmp_path / "marts/transactions")).select(dealt[0].__fields__).collect())) == sorted(map(str, plain))
+
+
+def test_trader_totals_are_dealt_once(spark, tmp_path):
+    root = str(tmp_path / "transactions")
+    tables.write_table(insider_transactions(clean(landed(spark, tmp_path))), root)
+    assert plan_of(marts.trader_totals(spark.read.parquet(root))).count("Exchange") == 1
+    state = marts.trader_months(spark.read.parquet(root), "quarter")
+    tables.write_table(state, str(tmp_path / "state"))
+    merge = next(part.merged for part in incremental.STATES if part.name == "trader_months")
+    assert plan_of(merge(spark.read.parquet(str(tmp_path / "state")))).count("Exchange") == 1
+
+
 def test_what_a_code_says_is_not_shuffled_while_copies_are_dropped(spark, tmp_path):
     rows = insider_transactions(clean(landed(spark, tmp_path)))
     plan = plan_of(rows)
@@ -200,6 +232,24 @@ def test_states_of_the_monthly_table_are_made_behind_a_shuffle_of_plain_rows(spa
     assert marts.filing_months(stored).count() == 2
 
 
+def test_states_of_the_monthly_table_leave_in_the_order_of_company_and_month(spark):
+    raw = raw_rows(spark, *[{"issuer_ticker": f"t{i * 7 % 10}", "transaction_date": dt.date(2024, 1 + i * 5 % 12, 1)} for i in range(200)])
+    states = marts.filing_months(insider_transactions(clean(raw))).withColumn("task", F.spark_partition_id()).collect()
+    for task in {row.task for row in states}:
+        seen = [(row.issuer_ticker, row.transaction_month_key) for row in states if row.task == task]
+        assert seen == sorted(seen)
+    assert len(states) == 200
+
+
+def test_rows_are_landed_where_they_are(spark, tmp_path):
+    rows = raw_rows(spark, *[{"accession_number": f"a{i % 10}", "cik": str(i), "quarter": f"2024Q{1 + i % 2}"} for i in range(40)])
+    assert tables.write_raw(rows.repartition(4, "accession_number"), str(tmp_path / "raw")) == 40
+    named = landing.read_raw(spark, str(tmp_path / "raw")).select("accession_number", "quarter", F.input_file_name().alias("file"))
+    files = named.groupBy("accession_number", "quarter").agg(F.countDistinct("file").alias("files"))
+    assert {row.files for row in files.collect()} == {1}
+    assert len(list((tmp_path / "raw" / "quarter=2024Q1").glob("*.parquet"))) > 1
+
+
 def test_tables_are_made_by_bounded_tasks_and_settings_come_back(spark, tmp_path):
     splits, writers = "spark.sql.files.maxPartitionBytes", "spark.sql.maxConcurrentOutputFileWriters"
     before = [spark.conf.get(key, None) for key in (splits, writers)]
