@@ -6,17 +6,19 @@ import re
 from helpers import plan_of, raw_rows
 from pyspark.sql import functions as F
 
-from ledgerline import schema
+from ledgerline import catalog, schema
 from ledgerline.operators import marts, serving
 from ledgerline.operators.dedup import by_filing, insider_transactions
-from ledgerline.operators.shred import shred_filings
+from ledgerline.operators.shred import shred_filings, shred_listings
 from ledgerline.operators.staging import clean, stage
 from ledgerline.session import OPEN_FILES, SPLIT, bounded_tasks
 from ledgerline.sinks import tables
 from ledgerline.plans import incremental
+from ledgerline.plans import ingest as ingest_plan
 from ledgerline.plans.ingest import ingest
 from ledgerline.plans.warehouse import build, open_marts
-from ledgerline.sources import documents, index, landing
+from ledgerline.sources import documents, index, landing, tree
+from ledgerline.sources.trade_tables import filing_documents
 
 
 def landed(spark, tmp_path):
@@ -271,3 +273,37 @@ def test_landed_quarters_are_whole_and_packed(spark, tmp_path):
     tables.write_raw(rows, str(tmp_path / "many"))
     assert sorted(row.quarter for row in landing.read_raw(spark, str(tmp_path / "many")).collect()) == sorted(quarters * 20)
     assert all("zstd" in path.name for path in (tmp_path / "many").glob("quarter=*/*.parquet"))
+
+
+def test_document_texts_are_stored_where_they_are(spark, tmp_path):
+    rows = [(f"a{i}", f"<x>{i}</x>", f"2024Q{1 + i % 2}") for i in range(40)]
+    frame = spark.createDataFrame(rows, "accession_number string, xml string, quarter string").repartition(4, "accession_number")
+    tables.write_documents(frame, str(tmp_path / "packed"))
+    files = list((tmp_path / "packed" / "quarter=2024Q1").glob("*.parquet"))
+    assert len(files) > 1 and all("zstd" in file.name for file in files)
+    assert sorted((r.accession_number, r.xml, r.quarter) for r in documents.read_packed_documents(spark, str(tmp_path / "packed")).collect()) == sorted(rows)
+
+
+def test_index_lines_are_stored_where_they_are(spark, tmp_path, monkeypatch):
+    lines = spark.createDataFrame([(str(i), "2024Q1") for i in range(40)], "value string, quarter string").repartition(4, "value")
+    monkeypatch.setattr(catalog, "index_lines", lambda *_: lines)
+    catalog._write_index(spark, "", str(tmp_path / "index"))
+    assert len(list((tmp_path / "index" / "quarter=2024Q1").glob("*.gz"))) > 1
+    assert sorted(row.value for row in index.read_index_lines(spark, str(tmp_path / "index")).collect()) == sorted(map(str, range(40)))
+
+
+def test_documents_of_a_tree_are_parsed_where_they_are_read(spark, tmp_path, monkeypatch):
+    root = f"file://{tmp_path}/tree"
+    tree.write_bundles(spark.createDataFrame([("edgar/1/a1.txt", "<x/>")], "path string, xml string"), root)
+    lines = spark.createDataFrame([(f"{'Co':62}{'4':12}{'7':12}{'2024-01-02':12}edgar/1/a1.txt", "2024Q1")], "value string, quarter string")
+    seen = []
+    monkeypatch.setattr(ingest_plan, "_land", lambda listed, found, *_: seen.append(shred_listings(listed, found)))
+    ingest_plan.ingest_tree(lines, root, str(tmp_path / "raw"))
+    assert "WindowGroupLimit" not in plan_of(seen[0]) and "row_number" not in plan_of(seen[0])
+    assert [row.accession_number for row in seen[0].collect()] == ["a1"]
+
+
+def test_lines_spread_over_cores_need_no_second_shuffle_to_become_documents(spark):
+    plan = plan_of(filing_documents(spark, "/root/testdata/sf0.001"))
+    last, first = plan.split("ObjectHashAggregate")[1:3]
+    assert "Exchange" not in last and "Exchange hashpartitioning(o_orderkey" in first
