@@ -58,3 +58,11 @@ def test_a_report_is_kept_with_each_version(spark, tmp_path):
 def test_shares_that_do_not_fit_are_not_published(spark, tmp_path):
     with pytest.raises(QualityError, match="raw.transaction_shares held"):
         publication.publish(raw_rows(spark, {"transaction_shares": 1e40}), str(tmp_path / "marts"))
+
+
+def test_raw_rows_are_made_once_for_a_build_and_its_checks(spark, tmp_path, monkeypatch):
+    seen, judge = [], publication.audit_all
+    monkeypatch.setattr(publication, "audit_all", lambda raw, *others: seen.append(raw) or judge(raw, *others))
+    publication.publish(raw_rows(spark, {}, {}), str(tmp_path))
+    files = seen[0].inputFiles()
+    assert files and all("/raw-" in file for file in files) and seen[0].count() == 2
